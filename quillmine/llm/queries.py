@@ -1,10 +1,13 @@
 """The corpus operators as queries over the tables of a folder, and SQL for those that SQL can express."""
 
-from . import decontaminate, exact_dedup
+from . import decontaminate, exact_dedup, mixture, secrets, urls
 
 QUERIES = {
+    "op2_url_filter": urls.op2_url_filter,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op7_mixture": mixture.op7_mixture,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op10_secrets": secrets.op10_secrets,
 }
 
 ORACLE_SQL = {
