@@ -1,9 +1,11 @@
 """The corpus operators as queries over the tables of a folder, and SQL for those that SQL can express."""
 
-from . import decontaminate, exact_dedup, mixture, secrets, urls
+from . import decontaminate, exact_dedup, line_dedup, mixture, near_dedup, secrets, urls
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_url_filter": urls.op2_url_filter,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_mixture": mixture.op7_mixture,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
@@ -11,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_line_dedup": line_dedup.OP3_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
 }
