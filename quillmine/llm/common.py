@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -89,17 +90,29 @@ def carried(docs: DataFrame, id_col: str, carry: list[str] | None) -> dict[str,
     return {"doc_id": id_col} | {c: c for c in carry or []}
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``checkpoint()``: lineage is cut by a copy in the folder of spark.checkpoint.dir, which survives executors.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share.
 
-    The folder is the cluster's; one of our own is set only where the session has none (tests, local runs).
+    One of our own is set only where the session has none (tests, local runs).
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillmine-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """``checkpoint()``: lineage is cut by a copy in the shared folder, which survives executors."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again."""
+    path = f"{shared_dir(df.sparkSession)}/quillmine-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,15 +1,20 @@
 """The corpus operators as queries over the tables of a folder, and SQL for those that SQL can express."""
 
-from . import decontaminate, exact_dedup, line_dedup, mixture, near_dedup, secrets, urls
+import corpus_pipeline
+
+from . import decontaminate, exact_dedup, licenses, line_dedup, mixture, near_dedup, quality, secrets, urls
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_url_filter": urls.op2_url_filter,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_quality": quality.op5_quality,
+    "op6_licenses": licenses.op6_licenses,
     "op7_mixture": mixture.op7_mixture,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_secrets": secrets.op10_secrets,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
