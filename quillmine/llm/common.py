@@ -1,16 +1,16 @@
-"""Pieces the corpus operators share: word rules, Arrow plumbing, durable intermediate results."""
+"""Pieces the corpus operators share: word rules, Arrow plumbing; durable intermediate results are the library's."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.storage import saved, stored  # noqa: F401
+
 #: Byte table: A-Z to lower case, every ASCII byte that is not a letter or digit to a space.
 #: Bytes of 0x80 and above (all parts of non-ASCII characters) stay, so words keep them.
 ALNUM_TABLE = bytes(
@@ -56,19 +56,19 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
 def appended(
     docs: DataFrame,
     text: str,
-    carry: dict[str, str],
+    keep: dict[str, Column],
     columns: str,
     make: Callable[[], Callable[..., list[pa.Array]]],
     also: list[str] | None = None,
     max_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """``docs`` reduced to ``carry`` (output name -> column) plus columns computed from whole texts.
+    """``docs`` reduced to ``keep`` (output name -> column) plus columns computed from whole texts.
 
     ``make`` is called once a task and returns the function from texts (and the arrays of the columns ``also``) to
     arrays. There is no shuffle.
     """
     also, schema = also or [], T.StructType.fromDDL(columns)
-    inner = docs.select(F.col(f"`{text}`").cast("string").alias("_text"), *(F.col(f"`{c}`").alias(f"_a{i}") for i, c in enumerate(also)), *(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry.values())))
+    inner = docs.select(F.col(f"`{text}`").cast("string").alias("_text"), *(F.col(f"`{c}`").alias(f"_a{i}") for i, c in enumerate(also)), *(c.alias(f"_c{i}") for i, c in enumerate(keep.values())))
     kept = [T.StructField(f"_c{i}", f.dataType) for i, f in enumerate(inner.schema.fields[1 + len(also) :])]
     made = [T.StructField(f"_m{i}", f.dataType) for i, f in enumerate(schema.fields)]
     names = [f.name for f in kept + made]
@@ -81,37 +81,13 @@ def appended(
 
     out = inner.mapInArrow(run, T.StructType(kept + made))
     return out.select(
-        *(F.col(f"_c{i}").alias(n) for i, n in enumerate(carry)), *(F.col(f"_m{i}").alias(f.name) for i, f in enumerate(schema.fields))
+        *(F.col(f"_c{i}").alias(n) for i, n in enumerate(keep)), *(F.col(f"_m{i}").alias(f.name) for i, f in enumerate(schema.fields))
     )
 
 
-def carried(docs: DataFrame, id_col: str, carry: list[str] | None) -> dict[str, str]:
-    """The id as ``doc_id`` plus further columns that a caller wants beside the result."""
-    return {"doc_id": id_col} | {c: c for c in carry or []}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share.
-
-    One of our own is set only where the session has none (tests, local runs).
-    """
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillmine-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """``checkpoint()``: lineage is cut by a copy in the shared folder, which survives executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again."""
-    path = f"{shared_dir(df.sparkSession)}/quillmine-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def carried(id_col: str, carry: list[str] | None) -> dict[str, Column]:
+    """The id as ``doc_id``, and the columns that a caller wants beside the result as the struct ``carried``, where no name clashes."""
+    return {"doc_id": F.col(f"`{id_col}`")} | ({"carried": F.struct(*(F.col(f"`{c}`") for c in carry))} if carry else {})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -221,7 +221,8 @@ def contamination(
     carry: list[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (sorted ids with occurring windows), contaminated, and ``carry``.
+    """One row per document: doc_id, n_words, n_hit, items (sorted ids with occurring windows), hit_words (a bit per word),
+    contaminated, and ``carry`` as the struct carried.
 
     A window is ``window`` consecutive words of an item, or the whole of a shorter one; a word inside any occurrence
     is hit; contaminated means n_hit > 0 and share * n_hit >= n_words. Null and empty texts, of documents or items, have no
@@ -229,11 +230,11 @@ def contamination(
     count. An empty benchmark hits nothing. A benchmark of one block (the usual case) needs one pass without a shuffle.
     Further blocks are merged with the first by hit word, per document.
     """
-    out, text, carry = docs, text_col, carried(docs, id_col, carry)
+    out, text, keep = docs, text_col, carried(id_col, carry)
     for k, block in enumerate(held := list(blocks(benchmark, item_col, item_text_col, block_bytes))):
-        more = {"_text": text} if k + 1 < len(held) else {}
-        out = appended(out, text, carry | more, COLUMNS, _hits(block, window), also=["items", "hit_words"] if k else [])
-        text, carry = "_text", {c: c for c in carry}
+        more = {"_text": F.col(f"`{text}`")} if k + 1 < len(held) else {}
+        out = appended(out, text, keep | more, COLUMNS, _hits(block, window), also=["items", "hit_words"] if k else [])
+        text, keep = "_text", {c: F.col(c) for c in keep}
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))
 
 
@@ -314,5 +315,5 @@ FROM words d LEFT JOIN hit h ON h.doc_id = d.id LEFT JOIN items t ON t.doc_id =
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated."""
-    out = contamination(docs, table(spark, sf_dir, "benchmark"), carry=[c for c in docs.columns if c != "doc_id"])
-    return out.where(~F.col("contaminated")).select(docs.columns)
+    out = contamination(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns)
+    return out.where(~F.col("contaminated")).select("carried.*")

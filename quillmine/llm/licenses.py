@@ -153,7 +153,8 @@ def scan(text: bytes, templates: list[Template]) -> tuple[int, list[tuple[int, i
 def scan_licenses(
     docs: DataFrame, base: list[tuple[str, str]] = BASE, templates: list[tuple[str, str]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, matches (array of (first_word, end_word, label, base) by place), score, and ``carry``.
+    """One row per document: doc_id, n_words, matches (array of (first_word, end_word, label, base) by place), score, and ``carry`` as
+    the struct carried.
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Every place of a base phrase is a match, overlapping ones
     too, and so is the longest match of a template at each place. score is 0 without matches and grows with the words of the longest
@@ -177,7 +178,7 @@ def scan_licenses(
         return work
 
     columns = "n_words long, matches array<struct<first_word:long,end_word:long,label:string,base:boolean>>, score double"
-    return appended(docs, text_col, carried(docs, id_col, carry), columns, make)
+    return appended(docs, text_col, carried(id_col, carry), columns, make)
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

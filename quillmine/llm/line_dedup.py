@@ -138,8 +138,9 @@ def line_bitmaps(
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, digest: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_dropped, the kept text (``digest``: its SHA-256), and ``carry``."""
-    rows = docs.withColumnRenamed(text_col, "_text").select(*(F.col(f"`{c}`").alias(n) for n, c in carried(docs, id_col, carry).items()), "_text")
+    """One row per document: doc_id, n_lines, n_dropped, kept_text (``digest``: kept_sha256), and ``carry`` as the struct carried."""
+    keep = carried(id_col, carry)
+    rows = docs.select(*(c.alias(n) for n, c in keep.items()), F.col(f"`{text_col}`").alias("_text"))
     marks = bitmaps.select(F.col("doc_id").alias("_id"), F.col("bitmap").alias("_bitmap"))
     rows = rows.join(marks, rows["doc_id"].eqNullSafe(marks["_id"]), "left").drop("_id")
 
@@ -162,7 +163,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, digest: bool = False, id_
         return work
 
     name = "kept_sha256" if digest else "kept_text"
-    return appended(rows, "_text", {"doc_id": "doc_id"} | {c: c for c in carry or []}, f"n_lines long, n_dropped long, {name} string", make, also=["_bitmap"])
+    return appended(rows, "_text", {c: F.col(c) for c in keep}, f"n_lines long, n_dropped long, {name} string", make, also=["_bitmap"])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,4 +105,5 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with ``repeats``: how many times each."""
     taken = mix(docs).where("repeats > 0").groupBy(F.col("doc_id").alias("_taken")).agg(F.max("repeats").alias("repeats"))
+    docs = docs.drop("repeats")
     return docs.join(taken, docs["doc_id"].eqNullSafe(taken["_taken"])).drop("_taken")

@@ -129,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, and ``carry``.
+    """One row per document: doc_id, held_out, score, predicted, and ``carry`` as the struct carried.
 
     Null counts as empty; an empty text gets the score of inputs 0, 0. Scores depend on the text alone: equal texts have equal
     scores, and rows are judged one by one. A null id is not held out. An empty table gives no rows.
@@ -143,8 +143,8 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD, i
 
         return work
 
-    out = appended(docs, text_col, carried(docs, id_col, carry), "score double", make)
-    more = [F.col(f"`{c}`") for c in carry or []]
+    out = appended(docs, text_col, carried(id_col, carry), "score double", make)
+    more = ["carried"] if carry else []
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *more)
 
 
@@ -156,5 +156,4 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    out = score_quality(docs, model, carry=[c for c in docs.columns if c != "doc_id"])
-    return out.where("predicted = 1").select(docs.columns)
+    return score_quality(docs, model, carry=docs.columns).where("predicted = 1").select("carried.*")

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, licenses, line_dedup, mixture, near_dedup, quality, secrets, urls
+from . import decontaminate, exact_dedup, language_model, licenses, line_dedup, mixture, near_dedup, quality, secrets, urls
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_licenses": licenses.op6_licenses,
     "op7_mixture": mixture.op7_mixture,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_lm_score": language_model.op9_lm_score,
     "op10_secrets": secrets.op10_secrets,
     "pipeline": corpus_pipeline.run,
 }

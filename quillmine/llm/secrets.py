@@ -126,14 +126,14 @@ NONE = "array<struct<start:int,order:int,end:int,kind:string>>"
 def find_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: list[CharClass] = CLASSES, allowed: list[str] = ALLOWED, carry: list[str] | None = None
 ) -> DataFrame:
-    """One row per document: doc_id, base and added (arrays of (start, order, end, kind) by start, then kind), and ``carry``.
+    """One row per document: doc_id, base and added (arrays of (start, order, end, kind) by start, then kind), and ``carry`` as the struct carried.
 
     base: matches of the fixed patterns; added: spans of high entropy that no base span holds and ``allowed`` does not suppress.
     Null counts as empty; an empty text has no spans. Rows are judged one by one, repeated ones alike; other columns are not read.
     The time for a text grows with its length, and with the square of its number of matches.
     """
     some = lambda when, what: F.when(when, what).otherwise(F.array().cast(NONE))
-    rows = docs.select(*(F.col(f"`{c}`").alias(n) for n, c in carried(docs, id_col, carry).items()), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
+    rows = docs.select(*(c.alias(n) for n, c in carried(id_col, carry).items()), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     text, low = F.col("_text"), F.lower("_text")
     has_word = low.contains(ASSIGN_WORDS[0])
     for word in ASSIGN_WORDS[1:]:

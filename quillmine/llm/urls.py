@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import carried, table
 
 # Fixed values: (rule, verdict).
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -89,7 +89,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
 def filter_urls(
     urls: DataFrame, weights: list[float], rules: list[tuple[str, str]] = RULES, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url", carry: list[str] | None = None
 ) -> DataFrame:
-    """One row per url: page_id, host, path, rule, score (the regression's, for block), verdict, and ``carry``.
+    """One row per url: page_id, host, path, rule, score (the regression's, for block), verdict, and ``carry`` as the struct carried.
 
     A rule ``host/path`` fits its host and all subdomains if the url's path starts with its path; the longest wins and gives the
     verdict; where none fits, block means score >= threshold. A null url and one without ``://`` have empty host and path, which
@@ -99,8 +99,8 @@ def filter_urls(
     if len(rules) > 500:
         raise ValueError("rules are part of the plan: 500 at most")
     host, path = host_and_path(F.col(f"`{url_col}`").cast("string"))
-    carried = {"page_id": id_col} | {c: c for c in carry or []}
-    rows = urls.select(*(F.col(f"`{c}`").alias(n) for n, c in carried.items()), host.alias("host"), path.alias("path"))
+    keep = carried(id_col, carry)
+    rows = urls.select(keep.pop("doc_id").alias("page_id"), *(c.alias(n) for n, c in keep.items()), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("_slots", F.array_distinct(slots(F.col("host"), F.col("path"))))
     table_ = F.split(F.lit(" ".join(map(repr, weights[:-1]))), " ").cast("array<double>")  # folded to one literal
     total = F.aggregate("_slots", F.lit(0.0), lambda s, k: s + F.get(table_, k))
