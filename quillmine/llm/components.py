@@ -12,17 +12,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``edges`` (a, b; long): comp is the smallest node reachable.
 
     Labels spread to neighbours and then jump to their label's label, so the rounds grow with the logarithm of the diameter on
-    chains. Each round is joins and a min with partial aggregation; its result is checkpointed. Loops and repeated edges are fine.
+    chains. Each round is joins and a min with partial aggregation; its result is checkpointed. Joins are merge joins: what they join grows
+    with the graph, and a broadcast would pass through the driver. Loops and repeated edges are fine.
     """
     one = edges.select(F.least("a", "b").alias("node"), F.greatest("a", "b").alias("other")).where("node < other").distinct()
     both = saved(one.unionByName(one.select(F.col("other").alias("node"), F.col("node").alias("other"))))
     labels = saved(both.groupBy("node").agg(F.least(F.first("node"), F.min("other")).alias("comp")))
     while True:
         there = labels.select(F.col("node").alias("other"), F.col("comp").alias("_near"))
-        near = both.join(there, "other").groupBy("node").agg(F.min("_near").alias("_near"))
-        step = labels.join(near, "node").select("node", F.col("comp").alias("_old"), F.least("comp", "_near").alias("_next"))
+        near = both.join(there.hint("merge"), "other").groupBy("node").agg(F.min("_near").alias("_near"))
+        step = labels.join(near.hint("merge"), "node").select("node", F.col("comp").alias("_old"), F.least("comp", "_near").alias("_next"))
         up = labels.select(F.col("node").alias("_next"), F.col("comp").alias("_up"))
-        step = step.join(up, "_next").select("node", "_old", F.least("_next", "_up").alias("comp"))
+        step = step.join(up.hint("merge"), "_next").select("node", "_old", F.least("_next", "_up").alias("comp"))
         new = saved(step.select("node", "comp", (F.col("comp") != F.col("_old")).alias("_moved")))
         moved = new.where("_moved").count()
         labels = new.select("node", "comp")

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pieces, saved, space_words, table, texts
@@ -34,7 +34,8 @@ SEED = 20_11
 COMPARED = 160  # coordinates that estimate a similarity before sets are compared
 #: An estimate this far below the threshold is no pair: 5.5 standard deviations of 160 coordinates.
 MARGIN = 0.175
-BLOCK = 1 << 20  # shingles in a block
+BLOCK = 1 << 15  # shingles in a block of the first pass, which spreads large components
+WIDE_BLOCK = 1 << 20  # of the second one, where each visitor is sent to every block
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -169,7 +170,9 @@ def _linked(k: int, num: int, den: int):
     return run
 
 
-def near_dedup(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def near_dedup(
+    docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, wide_block: int = WIDE_BLOCK
+) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a set holds the distinct shingles of ``k`` words, of the whole sequence
@@ -186,38 +189,50 @@ def near_dedup(docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int] = (
     classes = saved(classes)
     members = classes.select("node", F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").select("band", "low")
-    stars = members.join(buckets, "band").where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    stars = members.join(buckets.hint("merge"), "band").where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
     near = connected_components(stars)
 
-    nodes = near.join(classes.select("node", "n"), "node")
-    sizes = nodes.groupBy("comp").agg(F.sum("n").alias("_total")).select("comp", F.ceil(F.col("_total") / block).cast("int").alias("blocks"))
-    nodes = nodes.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    with_text = saved(nodes.join(rows.where("doc_id is not null").withColumnRenamed("doc_id", "node"), "node"))
+    nodes = near.join(classes.select("node", "n").hint("merge"), "node")
+    sizes = nodes.groupBy("comp").agg(F.sum("n").alias("total"))
+    nodes = nodes.join(sizes.hint("merge"), "comp")
+    with_text = saved(nodes.join(rows.where("doc_id is not null").withColumnRenamed("doc_id", "node").hint("merge"), "node"))
+
+    def blocks(size: int) -> Column:
+        return F.ceil(F.col("total") / size).cast("int")
+
+    def block_of(size: int) -> Column:
+        return F.pmod(F.xxhash64("node"), blocks(size)).cast("int")
+
+    def each_block(size: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
 
     def linked(dealt: DataFrame) -> DataFrame:
         by = ["comp", "block", "chunk"]
         dealt = dealt.select(*by, "node", "label", "visiting", "text").repartition(*by).sortWithinPartitions(*by, "node")
-        return dealt.mapInArrow(_linked(k, num, den), "a long, b long")
+        return saved(dealt.mapInArrow(_linked(k, num, den), "a long, b long"))
 
-    own = with_text.withColumns({"chunk": F.lit(0), "label": F.col("node"), "visiting": F.lit(True)})
-    pivots = own.where("node = comp and blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    first = saved(linked(own.unionByName(pivots)))
-    labels = connected_components(first)
+    own = with_text.withColumns({"block": block_of(block), "chunk": F.lit(0), "label": F.col("node"), "visiting": F.lit(True)})
+    pivots = own.where((F.col("node") == F.col("comp")) & (blocks(block) > 1)).withColumn("block", each_block(block))
+    labels = connected_components(linked(own.unionByName(pivots)))
 
-    wide = with_text.where("blocks > 1").join(labels.withColumnRenamed("comp", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    wide = saved(wide)
-    groups = wide.groupBy("comp", "label").agg(F.sum("n").alias("_n"))
+    several = with_text.where(blocks(block) > 1).join(labels.withColumnRenamed("comp", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    groups = several.groupBy("comp", "label").agg(F.sum("n").alias("_n"))
     largest = groups.groupBy("comp").agg(F.max_by("label", F.struct("_n", "label")).alias("_main"), F.count("*").alias("_labels"), F.sum("_n").alias("_all"), F.max("_n").alias("_most"))
-    largest = largest.where("_labels > 1").select("comp", "_main", F.ceil((F.col("_all") - F.col("_most")) / block).cast("int").alias("chunks"))
-    wide = wide.join(largest, "comp")
-    staying = wide.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("visiting", F.lit(False))
-    visitors = wide.where("label != _main").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int"))
-    visitors = visitors.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("visiting", F.lit(True))
-    second = linked(staying.unionByName(visitors))
-
-    final = connected_components(first.unionByName(second)).withColumnRenamed("comp", "component")
-    found = classes.select("key", "node").join(final, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
-    out = features.select("doc_id", "n_shingles", "key").join(found, "key", "left")
+    largest = largest.where("_labels > 1").select("comp", "_main", F.ceil((F.col("_all") - F.col("_most")) / wide_block).cast("int").alias("chunks"))
+    apart = saved(several.join(largest.hint("merge"), "comp"))
+    if not apart.isEmpty():
+        staying = apart.withColumns({"block": block_of(wide_block), "visiting": F.lit(False)}).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        visitors = apart.where("label != _main").withColumns({"chunk": F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int"), "visiting": F.lit(True)})
+        more = linked(staying.unionByName(visitors.withColumn("block", each_block(wide_block))))
+        if not more.isEmpty():  # links between classes of linked ones: a small graph
+            of = apart.select("node", "label")
+            ends = [of.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")).hint("merge") for c in ("a", "b")]
+            joined = connected_components(more.join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+            every = near.select("node").join(labels.hint("merge"), "node", "left").select("node", F.coalesce("comp", "node").alias("label"))
+            labels = every.join(joined.select(F.col("node").alias("label"), "comp").hint("merge"), "label", "left").select("node", F.coalesce("comp", "label").alias("comp"))
+
+    found = classes.select("key", "node").join(labels.hint("merge"), "node", "left").select("key", F.coalesce("comp", "node").alias("component"))
+    out = features.select("doc_id", "n_shingles", "key").join(found.hint("merge"), "key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
