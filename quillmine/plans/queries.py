@@ -223,8 +223,8 @@ def tokenize_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORDS = r"regexp_extract_all(lower(text), '[A-Za-z0-9_]+|[\x{4e00}-\x{9fff}]')"
 TOKENIZE_TF = f"""
-SELECT doc_id, token, count(*) AS n, round(count(*) / any_value(n_tokens), 9) AS tf
-FROM (SELECT doc_id, len({_WORDS}) AS n_tokens, unnest({_WORDS}) AS token FROM documents) GROUP BY doc_id, token
+WITH docs AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents)
+SELECT doc_id, token, count(*) AS n, round(count(*) / any_value(n_tokens), 9) AS tf FROM (SELECT doc_id, len(w) AS n_tokens, unnest(w) AS token FROM docs) GROUP BY doc_id, token
 """
 
 
