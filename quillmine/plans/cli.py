@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import read_papers, write_json
 from .config import Config
+from .deploy import ship
 from .pipeline import Run
 from .prompts import TEMPLATE
 
@@ -38,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     fields = {k: v for k, v in vars(args).items() if k in Config.__dataclass_fields__}
-    spark = spark or SparkSession.builder.appName("quillmine").getOrCreate()
+    spark = ship(spark or SparkSession.builder.appName("quillmine").getOrCreate())
     run = Run(spark, args.output, Config(**fields, resume_enabled=not args.no_resume), Path(args.prompt).read_text("utf-8-sig") if args.prompt else TEMPLATE)
     if args.entry == "run":
         papers = read_papers(spark, args.input)
