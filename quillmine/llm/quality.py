@@ -8,15 +8,18 @@ share of the text, which tells text that repeats itself (either dictionary then
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from .common import appended, carried, table
+from .common import appended, carried, table, texts
 
 PIECE = 512  # bytes; a dictionary tells most about the first few hundred
 LEVEL = 3
@@ -94,38 +97,50 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(w[0] - slope @ mean), *map(float, slope)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: int, id_col: str, text_col: str, most: int, max_bytes: int) -> list[bytes]:
-    """Whole texts of at most ``most`` documents with this label, none held out, in a seeded order; ``max_bytes`` in all."""
-    ids = labels.where((F.col("quality") == label) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.lit(5), F.col("doc_id").cast("long")).alias("_at"))
-    ids = ids.where("_id is not null").distinct().orderBy("_at", "_id").limit(most)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")).where("_text != ''")
-    out, size = [], 0
-    for (text,) in rows.join(F.broadcast(ids), "_id").orderBy("_at", "_id").select("_text").toLocalIterator():  # ``most`` ids bound the broadcast
-        text = text.encode()
-        if size + len(text) > max_bytes:
-            break
-        out.append(text)
-        size += len(text)
-    return out
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int, max_bytes: int) -> DataFrame:
+    """(quality, text, at): whole texts of labelled documents, none held out, in a seeded order.
+
+    Of either label ``most`` documents at most, and as many of them as ``max_bytes`` hold.
+    """
+    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"))
+    known = known.distinct().withColumn("_at", F.xxhash64(F.lit(5), "_id"))
+    ids = reduce(DataFrame.unionByName, (known.where(F.col("quality") == q).orderBy("_at", "_id").limit(most) for q in (0, 1)))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text != ''")
+    held = F.sum(F.octet_length("text")).over(W.partitionBy("quality").orderBy("_at", "_id", "text"))
+    rows = rows.join(F.broadcast(ids), "_id").withColumn("_held", held)  # twice ``most`` ids bound the broadcast, and the windows
+    return rows.where(F.col("_held") <= max_bytes).select("quality", "text", F.struct("_at", "_id", "text").alias("at"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_DOCUMENTS, max_bytes: int = SAMPLE_BYTES) -> Model:
     """Half of each sample trains a dictionary, the other half the calibration, weighted to the labels' true shares.
 
-    Where a label has no documents, all texts get the share of label 1 among the labels (0.5 without labels).
+    One task trains on the sample, whose size is bounded; the driver gets the model alone. Where a label has no documents, all texts get the
+    share of label 1 among the labels (0.5 without labels).
     """
     shares = {q: n for q, n in labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("quality").count().collect()}  # two rows
     total = sum(shares.values())
-    found = {q: sample(docs, labels, q, id_col, text_col, most, max_bytes) for q in (1, 0)}
-    if min(map(len, found.values())) < 2:
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[bytes]] = {0: [], 1: []}
+        for batch in batches:
+            for q, text in zip(batch.column(0).to_pylist(), texts(batch, "text"), strict=True):
+                found[q].append(text)
+        if min(map(len, found.values())) < 2:
+            return
+        good, bad = (dictionary(found[q][::2]) for q in (1, 0))
+        measure = Measure(good, bad)
+        x = {q: np.array([measure(t) for t in found[q][1::2]]) for q in (1, 0)}
+        y = np.r_[np.ones(len(x[1])), np.zeros(len(x[0]))]
+        weight = np.r_[np.full(len(x[1]), shares[1] / total / len(x[1])), np.full(len(x[0]), shares[0] / total / len(x[0]))] * len(y)
+        weights = calibrate(np.r_[x[1], x[0]], y, weight)
+        yield pa.RecordBatch.from_arrays([pa.array([good], pa.binary()), pa.array([bad], pa.binary()), pa.array([weights], pa.list_(pa.float64()))], names=["good", "bad", "weights"])
+
+    rows = sample(docs, labels, id_col, text_col, most, max_bytes).repartition(1).sortWithinPartitions("quality", "at").drop("at")
+    model = rows.mapInArrow(train, "good binary, bad binary, weights array<double>").first()
+    if model is None:
         p = min(max(shares.get(1, 0) / total if total else 0.5, 1e-6), 1 - 1e-6)
         return Model(b"", b"", (float(np.log(p / (1 - p))), 0.0, 0.0))
-    good, bad = (dictionary(found[q][::2]) for q in (1, 0))
-    measure = Measure(good, bad)
-    x = {q: np.array([measure(t) for t in found[q][1::2]]) for q in (1, 0)}
-    y = np.r_[np.ones(len(x[1])), np.zeros(len(x[0]))]
-    weight = np.r_[np.full(len(x[1]), shares[1] / total / len(x[1])), np.full(len(x[0]), shares[0] / total / len(x[0]))] * len(y)
-    return Model(good, bad, calibrate(np.r_[x[1], x[0]], y, weight))
+    return Model(bytes(model["good"]), bytes(model["bad"]), tuple(model["weights"]))
 
 
 def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
