@@ -7,7 +7,7 @@ one contiguous slice of the table to all coordinates.
 Plan. (1) One pass makes (id, set size, set key, band hashes). Equal sets form classes; the smallest id stands for a class.
 (2) Buckets of equal band hashes give star edges to their smallest member, a number linear in the members; components of this
 graph hold every candidate pair. (3) Only documents in such components are read again. A component is dealt into blocks of bounded
-size, each with the component's pivot; a block's task links its members by exact comparison, skipping pairs that are linked
+size, each with the component's pivots, which join the blocks' classes; a block's task links its members by exact comparison, skipping pairs that are linked
 already. (4) Where a component has several blocks and its members aren't all linked, the members outside of its largest
 class of linked ones visit every block, in chunks of bounded size. (5) Components of the verified links, joined to the ids.
 No pair is lost to a cap, no group meets in one task, and what is emitted is at most one link for each member of a block.
@@ -35,7 +35,8 @@ COMPARED = 160  # coordinates that estimate a similarity before sets are compare
 #: An estimate this far below the threshold is no pair: 5.5 standard deviations of 160 coordinates.
 MARGIN = 0.175
 BLOCK = 1 << 15  # shingles in a block of the first pass, which spreads large components
-WIDE_BLOCK = 1 << 20  # of the second one, where each visitor is sent to every block
+WIDE_BLOCK = 1 << 18  # of the second one, where each visitor is sent to every block
+PIVOTS = 16  # members of a component that every block of it gets, about
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -193,7 +194,7 @@ def near_dedup(
     near = connected_components(stars)
 
     nodes = near.join(classes.select("node", "n").hint("merge"), "node")
-    sizes = nodes.groupBy("comp").agg(F.sum("n").alias("total"))
+    sizes = nodes.groupBy("comp").agg(F.sum("n").alias("total"), F.count("*").alias("members"))
     nodes = nodes.join(sizes.hint("merge"), "comp")
     with_text = saved(nodes.join(rows.where("doc_id is not null").withColumnRenamed("doc_id", "node").hint("merge"), "node"))
 
@@ -212,7 +213,8 @@ def near_dedup(
         return saved(dealt.mapInArrow(_linked(k, num, den), "a long, b long"))
 
     own = with_text.withColumns({"block": block_of(block), "chunk": F.lit(0), "label": F.col("node"), "visiting": F.lit(True)})
-    pivots = own.where((F.col("node") == F.col("comp")) & (blocks(block) > 1)).withColumn("block", each_block(block))
+    chosen = (F.col("node") == F.col("comp")) | (F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("members") / PIVOTS)) == 0)
+    pivots = own.where(chosen & (blocks(block) > 1)).withColumn("block", each_block(block))
     labels = connected_components(linked(own.unionByName(pivots)))
 
     several = with_text.where(blocks(block) > 1).join(labels.withColumnRenamed("comp", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
