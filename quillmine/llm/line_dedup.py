@@ -27,6 +27,7 @@ from .common import appended, carried, pieces, saved, table, texts
 LEAST_LENGTH = 20
 LEAST_DOCUMENTS = 3
 HELD = 4096  # rows of one run that a task holds
+MOST_SENT = 100_000  # hashes of undecided runs that are sent to all tasks; more are joined by merging
 BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
@@ -131,6 +132,9 @@ def line_bitmaps(
     found = saved(found)
     open_ = found.where("not decided")
     hashes = open_.select("high", "low", "doc_id").distinct().groupBy("high", "low").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= least_documents)
+    # Two a partition, and one for each run of more than ``held`` rows: few, but that is counted before they are sent anywhere.
+    hashes = saved(hashes)
+    hashes = F.broadcast(hashes) if hashes.count() <= MOST_SENT else hashes.hint("merge")
     falls = open_.join(hashes, ["high", "low"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     falls = found.where("decided").select("doc_id", "at").unionByName(falls.select("doc_id", "at"))
     marks = falls.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
