@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +44,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
             if batch.num_rows:
                 yield batch
             continue
-        sizes = [len(x or b"") for x in texts(batch, column)]
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > max_bytes:
@@ -60,7 +61,7 @@ def appended(
     columns: str,
     make: Callable[[], Callable[..., list[pa.Array]]],
     also: list[str] | None = None,
-    max_bytes: int = 32 << 20,
+    max_bytes: int = 16 << 20,
 ) -> DataFrame:
     """``docs`` reduced to ``keep`` (output name -> column) plus columns computed from whole texts.
 

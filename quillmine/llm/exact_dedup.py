@@ -175,12 +175,12 @@ def _owners(keep: str):
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in pieces(batches, "text", 32 << 20):
+    for part in pieces(batches, "text", 16 << 20):
         sha = [hashlib.sha256(normal(t)).digest() for t in texts(part, "text")]
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sha, pa.binary())], names=["doc_id", "sha"])
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", budget: int = 64 << 20) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", budget: int = 32 << 20) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z. ``keep`` says whether the smallest or the largest id

@@ -67,7 +67,7 @@ def fit(spark: SparkSession, labelled: list[tuple[str, int]] | None = None, roun
     rows = spark.sql(f"SELECT * FROM VALUES {quoted} AS t(url, y)").select(F.array_distinct(slots(*host_and_path(F.col("url")))).alias("s"), "y").collect()
     x = np.zeros((len(rows), SIZE + 1))
     for i, row in enumerate(rows):
-        x[i, row["s"]] = 1 / np.sqrt(len(row["s"]))
+        x[i, row["s"]] = 1 / np.sqrt(max(1, len(row["s"])))
     x[:, SIZE] = 1
     y, w = np.array([row["y"] for row in rows], float), np.zeros(SIZE + 1)
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))  # both classes count alike
