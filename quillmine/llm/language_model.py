@@ -1,6 +1,6 @@
 """Language-model scoring by cross-entropy difference: a target and a background n-gram model over one vocabulary.
 
-Plan. Two counting passes over all texts and a scoring pass, none of which shuffles texts. Words are counted exactly (tasks pass
+Plan. Two counting passes over all texts, which a merge join marks as target or not, and a scoring pass. Words are counted exactly (tasks pass
 on their local counts); those with at least ``word_share`` of all words are the vocabulary of both models, at most
 1 / word_share words whatever the corpus. Pairs of vocabulary words are counted exactly, too, and those with at least ``pair_share`` of
 all words, in the background or the target, are the pairs of both models, at most 2 / pair_share. So what is sent to the
@@ -25,7 +25,6 @@ from .quality import held_out
 WORD_SHARE = 1e-5
 PAIR_SHARE = 1e-6
 WEIGHTS = (0.6, 0.35, 0.05)  # of pairs, words, and the uniform distribution
-TARGET_DOCUMENTS = 20_000  # ids of target documents that are sent to the tasks, at most
 
 
 class Numbers(dict):
@@ -109,18 +108,24 @@ class Model:
         return out
 
 
-def target_ids(labels: DataFrame, most: int = TARGET_DOCUMENTS) -> DataFrame:
-    """Ids of documents labelled good, none held out: the first ``most`` in a seeded order."""
-    ids = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
-    return ids.orderBy(F.xxhash64(F.lit(9), "_id"), "_id").limit(most)
+def target_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good, none held out."""
+    return labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
+
+
+def marked(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(text, is_target) of all documents: a merge join, as the ids grow with the input; null ids are dealt over all tasks."""
+    key = lambda c: c.cast("long").cast("string")
+    ids = targets.select(key(F.col(targets.columns[0])).alias("_id")).where("_id is not null").distinct().withColumn("_target", F.lit(True))
+    alone = F.concat(F.lit("null "), F.monotonically_increasing_id().cast("string"))
+    rows = docs.select(F.coalesce(key(F.col(f"`{id_col}`")), alone).alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return rows.join(ids.hint("merge"), "_id", "left").select("text", F.coalesce("_target", F.lit(False)).alias("is_target"))
 
 
 def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Model:
-    """Both models: the background from all documents, the target from those whose ids ``targets`` has (TARGET_DOCUMENTS at most)."""
+    """Both models: the background from all documents, the target from all those whose ids ``targets`` has."""
     spark = docs.sparkSession
-    ids = targets.limit(TARGET_DOCUMENTS).select(F.col(targets.columns[0]).alias("_id"), F.lit(True).alias("_target"))  # bounds the broadcast
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(ids), F.col("_doc") == F.col("_id"), "left").select("text", F.coalesce("_target", F.lit(False)).alias("is_target"))
+    rows = marked(docs, targets, id_col, text_col)
 
     counts = rows.mapInArrow(_word_counts, "word binary, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
     counts = saved(counts)

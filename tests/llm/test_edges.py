@@ -237,3 +237,16 @@ def test_language_model(spark, docs, empty, labels):
     got = lm.score_documents(docs, model, carry=["source", "kept"]).collect()
     assert len(got) == len(ROWS) and all(r["n_tokens"] > 0 or r["score"] == 0 for r in got) and got[0]["carried"] is not None
     assert lm.score_documents(empty, lm.fit(empty, lm.target_ids(labels))).count() == 0
+
+
+def test_language_model_counts_every_target(spark):
+    from quillmine.llm import language_model as lm
+
+    n = 28_000
+    many = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    ids = lm.target_ids(many)
+    assert ids.count() == many.where(~quality.held_out(F.col("doc_id"))).count()
+    texts = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("word").alias("text")).unionByName(spark.createDataFrame([(None, "word other")], "doc_id long, text string"))
+    targets = many.select("doc_id").unionByName(spark.createDataFrame([(0,), (None,)], "doc_id long"))
+    found = lm.marked(texts, targets, "doc_id", "text").groupBy("is_target").count().collect()
+    assert dict(map(tuple, found)) == {True: n, False: 1}
