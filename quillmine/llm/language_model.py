@@ -1,111 +1,116 @@
 """Language-model scoring by cross-entropy difference: a target and a background n-gram model over one vocabulary.
 
-Plan. Two counting passes over all texts, which a merge join marks as target or not, and a scoring pass. Words are counted exactly (tasks pass
-on their local counts); those with at least ``word_share`` of all words are the vocabulary of both models, at most
-1 / word_share words whatever the corpus. Pairs of vocabulary words are counted exactly, too, and those with at least ``pair_share`` of
-all words, in the background or the target, are the pairs of both models, at most 2 / pair_share. So what is sent to the
-tasks has a bound that does not depend on the input, and what is counted grows with it. Both models interpolate pair, word
-and uniform probabilities with the same weights, so that a difference in loss is a difference in counts.
+Plan. One counting pass over all texts, which a merge join marks as target or not, and a scoring pass. All words and all pairs of
+words are counted exactly, in distributed tables that grow with the input; a word is its 64-bit hash there, and a text's first word is
+a pair with START. Word counts are sums of the pair table. Each pair gets its loss in both models: counts of words with at least
+HEAD_SHARE of all words (1 / HEAD_SHARE at most) are broadcast to the pairs, those of other words are joined by merging, so no key of
+a shuffle is frequent. The scoring pass looks up the most frequent pairs (again 1 / HEAD_SHARE at most) in the tasks, and joins all others
+with their losses. Both models interpolate pair, word and uniform probabilities with the same weights, so that a difference in loss
+is a difference in counts.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import alnum_words, appended, carried, pieces, saved, table, texts
+from .common import alnum_words, carried, pieces, saved, stored, table, texts
 from .quality import held_out
 
-WORD_SHARE = 1e-5
-PAIR_SHARE = 1e-6
+WORD_SHARE = 0.0  # words below this share of all words are one unknown word: none
+PAIR_SHARE = 0.0
+HEAD_SHARE = 1e-6  # what is sent to the tasks; the rest is joined, so results do not depend on it
 WEIGHTS = (0.6, 0.35, 0.05)  # of pairs, words, and the uniform distribution
+START = 0
+MEMO = 1 << 19  # words whose hashes a task remembers
 
 
-class Numbers(dict):
-    """Word -> number from 1; all other words are 0."""
+class Hashes(dict):
+    """Word -> 64-bit hash, never START."""
 
     def __missing__(self, word: bytes) -> int:
-        return 0
+        found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True) or 1
+        if len(self) < MEMO:
+            self[word] = found
+        return found
 
 
-def numbered(found: list[bytes | None], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers of all words of all texts, words of each text)."""
-    of, sizes, parts = numbers.__getitem__, [], [np.zeros(0, np.int64)]
+def paired(found: list[bytes | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word before or START, word) of all words of all texts, and the words of each text."""
+    of, sizes, parts = hashes.__getitem__, [], [np.zeros(0, np.int64)]
     for text in found:
         words = alnum_words(text) if text else []
         sizes.append(len(words))
         parts.append(np.fromiter(map(of, words), np.int64, len(words)))
-    return np.concatenate(parts), np.array(sizes, np.int64)
+    word, sizes = np.concatenate(parts), np.array(sizes, np.int64)
+    before = np.r_[START, word[:-1]][: len(word)]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+    return before, word, sizes
 
 
-def pair_codes(ids: np.ndarray, sizes: np.ndarray, span: int) -> np.ndarray:
-    """For each word the code of (word before, word); -1 for a text's first word and where either is no vocabulary word."""
-    codes = np.full(len(ids), -1, np.int64)
-    if len(ids) > 1:
-        codes[1:] = np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] * span + ids[1:], -1)
-    starts = np.cumsum(sizes) - sizes
-    codes[starts[sizes > 0]] = -1
-    return codes
+def pair_codes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    x = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = Hashes()
     for batch in pieces(batches, "text", 16 << 20):
-        every, target = Counter(), Counter()
-        for is_target, text in zip(batch.column(1).to_pylist(), texts(batch, "text"), strict=True):
-            words = alnum_words(text or b"")
-            every.update(words)
-            if is_target:
-                target.update(words)
-        keys = list(every)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([every[k] for k in keys], pa.int64()), pa.array([target[k] for k in keys], pa.int64())], names=["word", "n", "n_target"])
+        before, word, sizes = paired(texts(batch, "text"), hashes)
+        of_target = np.repeat(np.array(batch.column(1).to_pylist(), bool), sizes)
+        _, first, at = np.unique(pair_codes(before, word), return_index=True, return_inverse=True)
+        n, n_target = np.bincount(at, minlength=len(first)), np.bincount(at, weights=of_target, minlength=len(first)).astype(np.int64)
+        order = np.lexsort((word[first], before[first]))
+        yield pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (before[first], word[first], n, n_target)], names=["before", "word", "n", "n_target"])
 
 
-def _pair_counts(numbers):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = len(numbers.value) + 1
-        for batch in pieces(batches, "text", 16 << 20):
-            ids, sizes = numbered(texts(batch, "text"), numbers.value)
-            codes = pair_codes(ids, sizes, span)
-            of_target = np.repeat(np.array(batch.column(1).to_pylist(), bool), sizes)
-            keep = codes >= 0
-            keys, at = np.unique(codes[keep], return_inverse=True)
-            n, n_target = np.bincount(at, minlength=len(keys)), np.bincount(at, weights=of_target[keep], minlength=len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), pa.array(n_target)], names=["code", "n", "n_target"])
+@dataclass
+class Model:
+    """Counts of both models as tables, and the bounds that go with them."""
+
+    pairs: DataFrame  # before, word, n, n_target
+    words: DataFrame  # word, n, n_target
+    totals: tuple[int, int]  # words of the background, of the target
+    known: tuple[int, int, int]  # words that are no unknown ones, their occurrences in the background, in the target
+    word_least: float
+    pair_least: tuple[float, float]
+    head_least: float
+    weights: tuple[float, float, float] = WEIGHTS
 
-    return run
+    def losses(self, pairs: DataFrame, frequent: bool = False) -> DataFrame:
+        """(before, word, target_loss, background_loss) of ``pairs``: the loss of the second word in nats, in either model.
 
+        ``frequent``: all of ``pairs`` occur ``head_least`` times, so their words do as well.
+        """
 
-@dataclass
-class Model:
-    """Counts of both models: words by number (0: all others), pairs by sorted code."""
+        def counts(column: str, name: str, where: Column) -> DataFrame:
+            return self.words.where(where).select(F.col("word").alias(column), F.col("n").alias(f"{name}0"), F.col("n_target").alias(f"{name}1"))
 
-    numbers: Numbers
-    words: np.ndarray  # (2, vocabulary + 1): background, target
-    codes: np.ndarray
-    pairs: np.ndarray  # (2, codes)
-    weights: tuple[float, float, float] = WEIGHTS
+        head = F.col("n") >= self.head_least  # 1 / HEAD_SHARE rows bound the broadcasts
+        both = pairs.join(F.broadcast(counts("word", "w", head)), "word", "left").join(F.broadcast(counts("before", "b", head)), "before", "left")
+        has_word, has_before = F.col("w0").isNotNull(), F.col("b0").isNotNull() | (F.col("before") == START)
+        pairs = both.where(has_word & has_before)
+        if not frequent:
+            joined = both.where(~has_word).drop("w0", "w1").join(counts("word", "w", ~head).hint("merge"), "word")
+            left = joined.where(~has_before).unionByName(both.where(has_word & ~has_before)).drop("b0", "b1")
+            pairs = pairs.unionByName(joined.where(has_before)).unionByName(left.join(counts("before", "b", ~head).hint("merge"), "before"))
+        both = (F.col("before") != START) & (F.col("w0") >= self.word_least) & (F.col("b0") >= self.word_least)
+        both &= (F.col("n") >= self.pair_least[0]) | (F.col("n_target") >= self.pair_least[1])
 
-    def losses(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """(2, words): the loss of each word, in nats, of the background and of the target model."""
-        span = self.words.shape[1]
-        codes = pair_codes(ids, sizes, span)
-        before = np.r_[0, ids[:-1]][: len(ids)]
-        at = np.minimum(np.searchsorted(self.codes, codes), max(len(self.codes) - 1, 0))
-        known = (self.codes[at] == codes) if len(self.codes) else np.zeros(len(ids), bool)
-        out = np.empty((2, len(ids)))
-        for m in (0, 1):
-            total = max(self.words[m].sum(), 1)
-            p = self.weights[1] * self.words[m][ids] / total + self.weights[2] / span
-            seen = np.maximum(self.words[m][before[known]], 1)
-            p[known] += self.weights[0] * self.pairs[m][at[known]] / seen
-            out[m] = -np.log(p)
-        return out
+        def loss(m: int, n: str) -> Column:
+            word = F.when(F.col("w0") >= self.word_least, F.col(f"w{m}")).otherwise(self.totals[m] - self.known[1 + m])
+            p = self.weights[1] * word / max(self.totals[m], 1) + self.weights[2] / (self.known[0] + 1)
+            return -F.log(p + F.when(both, self.weights[0] * F.col(n) / F.greatest(F.col(f"b{m}"), F.lit(1))).otherwise(F.lit(0.0)))
+
+        return pairs.select("before", "word", loss(1, "n_target").alias("target_loss"), loss(0, "n").alias("background_loss"))
 
 
 def target_ids(labels: DataFrame) -> DataFrame:
@@ -122,48 +127,70 @@ def marked(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> D
     return rows.join(ids.hint("merge"), "_id", "left").select("text", F.coalesce("_target", F.lit(False)).alias("is_target"))
 
 
-def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Model:
+def fit(
+    docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE, head_share: float = HEAD_SHARE
+) -> Model:
     """Both models: the background from all documents, the target from all those whose ids ``targets`` has."""
-    spark = docs.sparkSession
     rows = marked(docs, targets, id_col, text_col)
-
-    counts = rows.mapInArrow(_word_counts, "word binary, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    counts = saved(counts)
-    total, total_target = (int(x or 0) for x in counts.agg(F.sum("n"), F.sum("n_target")).first())
-    frequent = sorted((bytes(w), n, t) for w, n, t in counts.where(F.col("n") >= max(1.0, word_share * total)).collect())  # 1 / word_share rows at most
-    numbers = Numbers((w, i) for i, (w, _, _) in enumerate(frequent, start=1))
-    words = np.array([[0, *(n for _, n, _ in frequent)], [0, *(t for _, _, t in frequent)]], float)
-    words[:, 0] = (total, total_target) - words.sum(axis=1)
-
-    sent = spark.sparkContext.broadcast(numbers)
-    pairs = rows.mapInArrow(_pair_counts(sent), "code long, n long, n_target long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    pairs = pairs.where((F.col("n") >= max(1.0, pair_share * total)) | (F.col("n_target") >= max(1.0, pair_share * total_target)))
-    found = np.array([list(r) for r in pairs.collect()], np.int64).reshape(-1, 3)  # 2 / pair_share rows at most
-    found = found[np.argsort(found[:, 0])]
-    return Model(numbers, words, found[:, 0].copy(), found[:, 1:].T.astype(float))
+    pairs = rows.mapInArrow(_pair_counts, "before long, word long, n long, n_target long").groupBy("before", "word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    pairs = stored(pairs, "pairs")
+    words = saved(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")))
+    totals = tuple(int(x or 0) for x in words.agg(F.sum("n"), F.sum("n_target")).first())
+    word_least = max(1.0, word_share * totals[0])
+    known = tuple(int(x or 0) for x in words.where(F.col("n") >= word_least).agg(F.count("*"), F.sum("n"), F.sum("n_target")).first())
+    return Model(pairs, words, totals, known, word_least, tuple(max(1.0, pair_share * t) for t in totals), max(1.0, head_share * totals[0]))
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_tokens, target_loss, background_loss, score, and ``carry`` as the struct carried.
 
-    Losses are means over the words, in nats; score is target_loss - background_loss, lower for texts that are more like the target.
-    Null and empty texts have no tokens, and 0 for all three. Rows are judged one by one. An empty table gives no rows.
+    ``docs`` are those of ``fit``, or some of them. Losses are means over the words, in nats; score is target_loss - background_loss,
+    lower for texts that are more like the target. Null and empty texts have no tokens, and 0 for all three. Rows are judged one by
+    one. An empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        held = sent.value
+    frequent = F.col("n") >= model.head_least
+    head = model.losses(model.pairs.where(frequent), frequent=True).toArrow()  # 1 / HEAD_SHARE rows at most
+    before, word, target, background = (head.column(i).to_numpy() for i in range(4))
+    codes = pair_codes(before.astype(np.int64), word.astype(np.int64))
+    order = np.argsort(codes)
+    sent = docs.sparkSession.sparkContext.broadcast((codes[order], np.array([target[order], background[order]], float)))
+
+    keep = carried(id_col, carry)
+    inner = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), F.monotonically_increasing_id().alias("_row"), *(c.alias(n) for n, c in keep.items()))
+    kept = inner.schema.fields[2:]
+    names = ["_row", "_before", "_word", "_k", "_n", "_t", "_b", *keep]
+    made = T.StructType.fromDDL("_row long, _before long, _word long, _k long, _n long, _t double, _b double").fields
 
-        def work(found: list[bytes | None]) -> list[pa.Array]:
-            ids, sizes = numbered(found, held.numbers)
-            sums = [np.r_[0, np.cumsum(x)] for x in held.losses(ids, sizes)]
-            ends = np.cumsum(sizes)
-            background, target = ((s[ends] - s[ends - sizes]) / np.maximum(sizes, 1) for s in sums)
-            return [pa.array(sizes), pa.array(target), pa.array(background), pa.array(target - background)]
-
-        return work
-
-    return appended(docs, text_col, carried(id_col, carry), "n_tokens long, target_loss double, background_loss double, score double", make, max_bytes=16 << 20)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, (codes, values) = Hashes(), sent.value
+        for batch in pieces(batches, "_text", 8 << 20):
+            before, word, sizes = paired(texts(batch, "_text"), hashes)
+            code, doc = pair_codes(before, word), np.repeat(np.arange(len(sizes)), sizes)
+            at = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
+            near = codes[at] == code if len(codes) else np.zeros(len(code), bool)
+            base = [np.bincount(doc[near], weights=v[at[near]], minlength=len(sizes)).astype(float) for v in values]
+            far = np.flatnonzero(~near)
+            far = far[np.lexsort((code[far], doc[far]))]
+            new = np.r_[True, (np.diff(code[far]) != 0) | (np.diff(doc[far]) != 0)][: len(far)]
+            k = np.diff(np.r_[np.flatnonzero(new), len(far)])
+            far, none, rows = far[new], np.zeros(new.sum(), np.int64), batch.column(1).to_numpy()
+            # A row per document, which meets no pair, and one for each of its pairs.
+            columns = [np.r_[rows, rows[doc[far]]], np.r_[np.full(len(sizes), START), before[far]], np.r_[rows, word[far]], np.r_[sizes * 0, k], np.r_[sizes, none], np.r_[base[0], none], np.r_[base[1], none]]
+            held = pa.array(np.r_[np.arange(len(sizes)), none], mask=np.r_[np.zeros(len(sizes), bool), np.ones(len(far), bool)])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), *(c.take(held) for c in batch.columns[2:])], names=names)
+
+    rows = inner.mapInArrow(run, T.StructType(made + [T.StructField(f.name, f.dataType) for f in kept]))
+    code = F.xxhash64("_before", "_word")
+    rows = rows.withColumn("_code", code).drop("_before", "_word")
+    losses = model.losses(model.pairs.where(~frequent)).select(F.xxhash64("before", "word").alias("_code"), "target_loss", "background_loss")
+    sums = rows.join(losses.hint("merge"), "_code", "left").groupBy("_row").agg(
+        F.sum("_n").alias("n_tokens"),
+        *(F.sum(F.col(own) + F.col("_k") * F.coalesce(other, F.lit(0.0))).alias(other) for own, other in (("_t", "target_loss"), ("_b", "background_loss"))),
+        *(F.first(c, ignorenulls=True).alias(c) for c in keep),
+    )
+    mean = lambda c: F.col(c) / F.greatest("n_tokens", F.lit(1))
+    out = sums.withColumns({"target_loss": mean("target_loss"), "background_loss": mean("background_loss")}).withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    return out.select("doc_id", *(["carried"] if carry else []), "n_tokens", "target_loss", "background_loss", "score")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,3 +130,15 @@ def test_lm_score(spark, docs):
     pruned = {r["doc_id"]: r for r in lm.score_documents(all_docs, lm.fit(all_docs, lm.target_ids(spark.read.parquet(f"{SF}/labels.parquet")), word_share=shares[0], pair_share=shares[1])).collect()}
     want = brute.lm_scores(texts, target, *shares, lm.WEIGHTS)
     assert all(abs(pruned[i]["target_loss"] - t) < 1e-9 and abs(pruned[i]["background_loss"] - b) < 1e-9 for i, (_, t, b) in want.items())
+
+
+@pytest.mark.parametrize("head_share", [1.0, 1e-4])
+def test_lm_score_counts_all_words_and_pairs(spark, docs, head_share):
+    from quillmine.llm import language_model as lm
+
+    assert lm.WORD_SHARE == lm.PAIR_SHARE == 0
+    all_docs, target = spark.read.parquet(f"{SF}/documents.parquet"), lm.target_ids(spark.read.parquet(f"{SF}/labels.parquet"))
+    want = brute.lm_scores({i: r["text"] for i, r in docs.items()}, {r[0] for r in target.collect()}, 0.0, 0.0, lm.WEIGHTS)
+    got = {r["doc_id"]: r for r in lm.score_documents(all_docs, lm.fit(all_docs, target, head_share=head_share)).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i]["n_tokens"] == n and abs(got[i]["target_loss"] - t) < 1e-9 and abs(got[i]["background_loss"] - b) < 1e-9 for i, (n, t, b) in want.items())
