@@ -277,6 +277,18 @@ FROM v a JOIN v b ON a.batch = b.batch AND a.vec_id < b.vec_id WHERE list_cosine
 """
 
 
+def embedding_cosine_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of all vectors, in whatever batches their ids lie."""
+    return Y.dense_cosine_pairs_all(_t(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.3).withColumn("similarity", F.round("similarity", 6))
+
+
+EMBEDDING_COSINE_PAIRS_ALL = """
+WITH v AS (SELECT vec_id, embedding::double[] AS e FROM embeddings)
+SELECT a.vec_id AS "left", b.vec_id AS "right", round(list_cosine_similarity(a.e, b.e), 6) AS similarity
+FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.3
+"""
+
+
 def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _batches(spark, sf_dir, F.col("text"))
     pairs = Y.cosine_pairs(Y.weights(rows, ["batch"], "doc_id", F.col("text")), ["batch"], "doc_id", THRESHOLD)
@@ -291,6 +303,22 @@ comps AS (SELECT d.batch, d.doc_id, d.text, d.lang, min(r.node) AS component FRO
 DUP_COMPONENTS = f"WITH RECURSIVE {_tfidf_sql('text')}, {_COMPONENTS_SQL} SELECT batch, doc_id, component FROM comps"
 
 
+def dup_components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components over equal normalized texts of the whole table and cosine pairs of the batches."""
+    rows = _batches(spark, sf_dir, F.col("text"))
+    pairs = Y.cosine_pairs(Y.weights(rows, ["batch"], "doc_id", F.col("text")), ["batch"], "doc_id", THRESHOLD).select("left", "right")
+    return Y.components(rows.select("doc_id"), pairs.unionByName(Y.equal_links(rows, "doc_id", X.topic_key(F.col("text")))), [], "doc_id").select("doc_id", "component")
+
+
+DUP_COMPONENTS_ALL = f"""
+WITH RECURSIVE {_tfidf_sql('text')},
+same AS (SELECT min(doc_id) OVER (PARTITION BY k) AS a, doc_id AS b FROM (SELECT doc_id, {_TOPIC_KEY} AS k FROM documents) WHERE k IS NOT NULL),
+links AS (SELECT "left" AS a, "right" AS b FROM pairs UNION ALL SELECT "right", "left" FROM pairs UNION ALL SELECT a, b FROM same UNION ALL SELECT b, a FROM same),
+reach(doc_id, node) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.node)
+SELECT doc_id, min(node) AS component FROM reach GROUP BY doc_id
+"""
+
+
 def cluster_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "documents").select(
         F.floor(F.col("doc_id") / BATCH).cast("string").alias("paper_id"), F.col("doc_id").alias("ord"), F.array(F.col("doc_id").cast("string")).alias("member_ids"), F.col("text").alias("topic"), F.col("lang").alias("logic")
@@ -478,7 +506,7 @@ def mock_pipeline_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     topic_vote_status, judge_pivot_spread, first_per_key_dedupe, duplicate_count, noise_flags, noise_filter, priority_case, source_type_case, compress_text, text_scalars, tokenize_tf,
-    idf_batch_local, tfidf_cosine_pairs, embedding_cosine_pairs, dup_components, cluster_representatives, line_paragraphs, section_paths, sentence_split, greedy_chunks, run_grid,
+    idf_batch_local, tfidf_cosine_pairs, embedding_cosine_pairs, embedding_cosine_pairs_all, dup_components, dup_components_all, cluster_representatives, line_paragraphs, section_paths, sentence_split, greedy_chunks, run_grid,
     missing_calls, completed_keys, merge_items, zip_short_side, final_left_last_wins, kv_score_parse, json_score_parse, stage_fingerprint, occurrence_suffix, mock_pipeline_e2e,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
