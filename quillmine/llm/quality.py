@@ -26,6 +26,7 @@ LEVEL = 3
 DICTIONARY_BYTES = 110 << 10
 SAMPLE_DOCUMENTS = 2000  # of either label, at most
 SAMPLE_BYTES = 24 << 20  # of either label, at most; whole texts
+LONGEST = 8  # a text of over this part of the bytes counts as very long
 THRESHOLD = 0.7
 
 
@@ -100,13 +101,15 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int, max_bytes: int) -> DataFrame:
     """(quality, text, at): whole texts of labelled documents, none held out, in a seeded order.
 
-    Of either label ``most`` documents at most, and as many of them as ``max_bytes`` hold.
+    Of either label ``most`` documents at most, and as many of them as ``max_bytes`` hold; texts of over ``max_bytes`` / LONGEST come
+    last, shorter ones first, so that a very long text takes no other's place.
     """
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"))
     known = known.distinct().withColumn("_at", F.xxhash64(F.lit(5), "_id"))
     ids = reduce(DataFrame.unionByName, (known.where(F.col("quality") == q).orderBy("_at", "_id").limit(most) for q in (0, 1)))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text != ''")
-    held = F.sum(F.octet_length("text")).over(W.partitionBy("quality").orderBy("_at", "_id", "text"))
+    long = F.greatest(F.octet_length("text"), F.lit(max_bytes // LONGEST))
+    held = F.sum(F.octet_length("text")).over(W.partitionBy("quality").orderBy(long, "_at", "_id", "text"))
     rows = rows.join(F.broadcast(ids), "_id").withColumn("_held", held)  # twice ``most`` ids bound the broadcast, and the windows
     return rows.where(F.col("_held") <= max_bytes).select("quality", "text", F.struct("_at", "_id", "text").alias("at"))
 

@@ -250,3 +250,11 @@ def test_language_model_counts_every_target(spark):
     targets = many.select("doc_id").unionByName(spark.createDataFrame([(0,), (None,)], "doc_id long"))
     found = lm.marked(texts, targets, "doc_id", "text").groupBy("is_target").count().collect()
     assert dict(map(tuple, found)) == {True: n, False: 1}
+
+
+def test_one_very_long_labelled_text_costs_only_itself(spark):
+    labels = spark.range(1, 8).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")).where(~quality.held_out(F.col("doc_id")))
+    ids = [r[0] for r in labels.collect()]
+    for long in ids:
+        docs = spark.createDataFrame([(i, "y" * 2000 if i == long else "x" * 50) for i in ids], "doc_id long, text string")
+        assert quality.sample(docs, labels, "doc_id", "text", 10, 1000).count() == len(ids) - 1
