@@ -186,16 +186,17 @@ def near_dedup(
     num, den = threshold
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     features = saved(rows.mapInArrow(_features(k), "doc_id long, n_shingles long, key binary, bands array<long>"))
-    classes = features.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands"))
+    classes = features.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = saved(classes)
     members = classes.select("node", F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").select("band", "low")
     stars = members.join(buckets.hint("merge"), "band").where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
     near = connected_components(stars)
 
-    nodes = near.join(classes.select("node", "n").hint("merge"), "node")
-    sizes = nodes.groupBy("comp").agg(F.sum("n").alias("total"), F.count("*").alias("members"))
-    nodes = nodes.join(sizes.hint("merge"), "comp")
+    nodes = saved(near.join(classes.select("node", "n").hint("merge"), "node"))
+    # Only components of several blocks need their size; saved, it is joined by an exchange that Spark can split.
+    sizes = saved(nodes.groupBy("comp").agg(F.sum("n").alias("total"), F.count("*").alias("members")).where(F.col("total") > block))
+    nodes = nodes.join(sizes.hint("merge"), "comp", "left").fillna(1, ["total", "members"])
     with_text = saved(nodes.join(rows.where("doc_id is not null").withColumnRenamed("doc_id", "node").hint("merge"), "node"))
 
     def blocks(size: int) -> Column:
@@ -220,7 +221,7 @@ def near_dedup(
     several = with_text.where(blocks(block) > 1).join(labels.withColumnRenamed("comp", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = several.groupBy("comp", "label").agg(F.sum("n").alias("_n"))
     largest = groups.groupBy("comp").agg(F.max_by("label", F.struct("_n", "label")).alias("_main"), F.count("*").alias("_labels"), F.sum("_n").alias("_all"), F.max("_n").alias("_most"))
-    largest = largest.where("_labels > 1").select("comp", "_main", F.ceil((F.col("_all") - F.col("_most")) / wide_block).cast("int").alias("chunks"))
+    largest = saved(largest.where("_labels > 1").select("comp", "_main", F.ceil((F.col("_all") - F.col("_most")) / wide_block).cast("int").alias("chunks")))
     apart = saved(several.join(largest.hint("merge"), "comp"))
     if not apart.isEmpty():
         staying = apart.withColumns({"block": block_of(wide_block), "visiting": F.lit(False)}).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))

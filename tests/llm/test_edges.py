@@ -127,11 +127,15 @@ def test_near_copies_around_an_absent_centre(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
 
 
-def test_components(spark):
-    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)] + [(200, 201 + i) for i in range(30)]
-    got = {r["node"]: r["comp"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, **{i: 200 for i in range(200, 231)}}
-    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+@pytest.mark.parametrize("finish", [0, 60, 1 << 17])
+def test_components(spark, finish):
+    """Ordered and shuffled chains, a star, loops, repeated edges, null ends: in rounds, in one task, and in both."""
+    shuffled = np.random.default_rng(4).permutation(np.arange(1000, 1060)).tolist()
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)] + [(200, 201 + i) for i in range(30)] + list(zip(shuffled, shuffled[1:], strict=False))
+    edges += [(None, 3), (4, None), (None, None), (-5, 500)]
+    got = {r["node"]: r["comp"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), finish).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, **{i: 200 for i in range(200, 231)}, **{i: 1000 for i in range(1000, 1060)}, -5: -5, 500: -5}
+    assert connected_components(spark.createDataFrame([], "a long, b long"), finish).count() == 0
 
 
 def test_decontaminate(spark, docs, empty):
