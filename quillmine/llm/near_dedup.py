@@ -36,6 +36,7 @@ COMPARED = 160  # coordinates that estimate a similarity before sets are compare
 MARGIN = 0.175
 BLOCK = 1 << 15  # shingles in a block of the first pass, which spreads large components
 WIDE_BLOCK = 1 << 18  # of the second one, where each visitor is sent to every block
+SHINGLES_EACH = 256  # short texts count as so many shingles when blocks are dealt, so that members of a block are bounded, too
 PIVOTS = 16  # members of a component that every block of it gets, about
 
 
@@ -195,7 +196,8 @@ def near_dedup(
 
     nodes = saved(near.join(classes.select("node", "n").hint("merge"), "node"))
     # Only components of several blocks need their size; saved, it is joined by an exchange that Spark can split.
-    sizes = saved(nodes.groupBy("comp").agg(F.sum("n").alias("total"), F.count("*").alias("members")).where(F.col("total") > block))
+    weight = F.greatest("n", F.lit(SHINGLES_EACH))
+    sizes = saved(nodes.groupBy("comp").agg(F.sum(weight).alias("total"), F.count("*").alias("members")).where(F.col("total") > block))
     nodes = nodes.join(sizes.hint("merge"), "comp", "left").fillna(1, ["total", "members"])
     with_text = saved(nodes.join(rows.where("doc_id is not null").withColumnRenamed("doc_id", "node").hint("merge"), "node"))
 
@@ -219,7 +221,7 @@ def near_dedup(
     labels = connected_components(linked(own.unionByName(pivots)))
 
     several = with_text.where(blocks(block) > 1).join(labels.withColumnRenamed("comp", "label").hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    groups = several.groupBy("comp", "label").agg(F.sum("n").alias("_n"))
+    groups = several.groupBy("comp", "label").agg(F.sum(weight).alias("_n"))
     largest = groups.groupBy("comp").agg(F.max_by("label", F.struct("_n", "label")).alias("_main"), F.count("*").alias("_labels"), F.sum("_n").alias("_all"), F.max("_n").alias("_most"))
     largest = saved(largest.where("_labels > 1").select("comp", "_main", F.ceil((F.col("_all") - F.col("_most")) / wide_block).cast("int").alias("chunks")))
     apart = saved(several.join(largest.hint("merge"), "comp"))
