@@ -4,7 +4,7 @@ Plan. Every task takes its own rows as shards: it numbers their words by the voc
 other word is 0 and matches nothing), sorts the suffixes into a suffix array and binary-searches all benchmark
 suffixes in it at once. Suffixes whose first words do not occur together anywhere in the benchmark are left out of
 the array, as no match can begin there. Nothing is shuffled and no key exists that could be hot. The benchmark
-goes to the tasks in blocks of bounded size; a larger one takes more blocks, each against all shards.
+is broadcast in blocks of bounded size, one at a time: a pass against all shards is written before the next block is fetched.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, appended, carried, pieces, table, texts
+from .common import alnum_words, appended, carried, pieces, saved, stored, table, texts
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -163,11 +165,11 @@ class Shard:
 COLUMNS = "n_words long, n_hit long, items array<long>, hit_words binary"
 
 
-def _hits(block: list, window: int):
+def _hits(block: Broadcast, window: int):
     """Adds what the windows of one block hit to what earlier blocks hit, if any."""
 
     def make():
-        bench = Benchmark(block, window)
+        bench = Benchmark(block.value, window)
 
         def work(found: list[bytes | None], *before: pa.Array) -> list[pa.Array]:
             shard = Shard(found, bench)
@@ -196,17 +198,35 @@ def _hits(block: list, window: int):
     return make
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, max_bytes: int) -> Iterator[list[tuple[int | None, bytes | None]]]:
-    """The benchmark in blocks of at most ``max_bytes`` (or one item); the driver holds one block at a time."""
-    held, size = [], 0
-    for item_id, text in benchmark.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")).toLocalIterator():
-        text = (text or "").encode()
-        if held and size + len(text) > max_bytes:
-            yield held
-            held, size = [], 0
-        held.append((item_id, text))
-        size += len(text)
-    yield held
+def numbered(benchmark: DataFrame, id_col: str, text_col: str, max_bytes: int) -> tuple[DataFrame, int]:
+    """(item_id, text, block) of the items with a text, and the number of blocks (1 at least): of ``max_bytes`` at most, or one item.
+
+    One task deals a benchmark of several blocks, as a stream; nothing of it comes to the driver here.
+    """
+    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text != ''")
+    if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) <= max_bytes:
+        return items.withColumn("block", F.lit(0)), 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = 0, 0
+        for batch in pieces(batches, "text", max_bytes):
+            of = []
+            for n in pc.binary_length(batch.column(1)).to_pylist():
+                if size and size + n > max_bytes:
+                    block, size = block + 1, 0
+                size += n
+                of.append(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of, pa.int32())], names=["item_id", "text", "block"])
+
+    items = saved(items.coalesce(1).mapInArrow(run, "item_id long, text string, block int"))
+    return items, items.agg(F.max("block")).first()[0] + 1
+
+
+def sent(items: DataFrame, block: int) -> Broadcast:
+    """One block of the benchmark, broadcast; the driver keeps none of it."""
+    found = items.where(F.col("block") == block).select("item_id", "text").toArrow()
+    rows = list(zip(found.column(0).to_pylist(), found.column(1).cast(pa.binary()).to_pylist(), strict=True))
+    return items.sparkSession.sparkContext.broadcast(rows)
 
 
 def contamination(
@@ -227,13 +247,19 @@ def contamination(
     A window is ``window`` consecutive words of an item, or the whole of a shorter one; a word inside any occurrence
     is hit; contaminated means n_hit > 0 and share * n_hit >= n_words. Null and empty texts, of documents or items, have no
     words, hit nothing and are hit by nothing. Repeated documents are judged one by one; items with equal texts all
-    count. An empty benchmark hits nothing. A benchmark of one block (the usual case) needs one pass without a shuffle.
-    Further blocks are merged with the first by hit word, per document.
+    count. An empty benchmark hits nothing, and an empty table gives no rows. Very long texts are shards of their own. A benchmark of one block
+    (the usual case) needs one pass without a shuffle. With more blocks, each pass is written, texts included, and adds to the one before by
+    hit word, per document; no two blocks are held at a time.
     """
     out, text, keep = docs, text_col, carried(id_col, carry)
-    for k, block in enumerate(held := list(blocks(benchmark, item_col, item_text_col, block_bytes))):
-        more = {"_text": F.col(f"`{text}`")} if k + 1 < len(held) else {}
+    items, n = numbered(benchmark, item_col, item_text_col, block_bytes)
+    for k in range(n):
+        block, last = sent(items, k), k + 1 == n
+        more = {} if last else {"_text": F.col(f"`{text}`")}
         out = appended(out, text, keep | more, COLUMNS, _hits(block, window), also=["items", "hit_words"] if k else [])
+        if not last:
+            out = stored(out, f"hits{k}")
+            block.unpersist(blocking=True)
         text, keep = "_text", {c: F.col(c) for c in keep}
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))
 
@@ -253,11 +279,13 @@ def longest_matches(
     Each task searches its shards and passes on one row per suffix; the longest is taken over all of them.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    found = None
-    for block in blocks(benchmark, item_col, item_text_col, block_bytes):
+    found, best = None, F.max_by(F.struct("n_words", "doc_id", "doc_word"), F.struct(F.col("n_words"), -F.col("doc_id"), -F.col("doc_word"))).alias("best")
+    items, n = numbered(benchmark, item_col, item_text_col, block_bytes)
+    for k in range(n):
+        block = sent(items, k)
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            bench = Benchmark(block)
+            bench = Benchmark(block.value)
             offset = np.arange(len(bench.starts)) - np.searchsorted(bench.owner, bench.owner)
             for batch in pieces(batches, "text", 16 << 20):
                 shard = Shard(texts(batch, "text"), bench)
@@ -277,8 +305,11 @@ def longest_matches(
                 )
 
         part = rows.mapInArrow(run, "item_id long, item_word long, n_words long, doc_id long, doc_word long")
+        part = part.groupBy("item_id", "item_word").agg(best).select("item_id", "item_word", "best.*")
+        if n > 1:
+            part = stored(part, f"matches{k}")
+            block.unpersist(blocking=True)
         found = part if found is None else found.unionByName(part)
-    best = F.max_by(F.struct("n_words", "doc_id", "doc_word"), F.struct(F.col("n_words"), -F.col("doc_id"), -F.col("doc_word"))).alias("best")
     return found.groupBy("item_id", "item_word").agg(best).select("item_id", "item_word", "best.*")
 
 
