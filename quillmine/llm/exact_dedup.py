@@ -1,11 +1,10 @@
 """Exact duplicates by Patricia tries: length-and-hash partitions, full byte strings, owners in terminal nodes.
 
-Plan. Each input task feeds a trie with its own texts and passes on one row per distinct text (map-side
-combine), so a group of copies, however large, reaches its partition as one row per input task. Rows are dealt
-by (length, hash) and sorted by the same pair; a second trie per partition compares whole byte strings. A trie key
-is hash, length, text, so a subtree is a range of (hash, length): in the first pass the largest subtree is
-passed on when memory is short, in the second one a subtree is passed on and freed when the sorted input has
-left it. Group membership then comes from a join on the digest whose left side Spark can split when skewed.
+Plan. Each input task feeds a trie with its own texts and passes on one row per distinct text (map-side combine), so a group of
+copies, however large, reaches its partition as one row per input task and spill. Rows are dealt by (length, hash), and a second trie per
+partition takes in the whole byte strings, which share their common openings. When a trie outgrows its budget, in either
+pass, its largest subtree is passed on and freed. The first pass passes on texts; the second one digests, owners and counts, of which a
+small aggregate adds up what spills have parted. Group membership comes from a join on the digest that Spark can split when skewed.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, table, texts
+from .common import pieces, saved, table, texts
 
 
 class Node:
@@ -87,8 +86,8 @@ class PatriciaTrie:
     def spill(self) -> Iterator[tuple[bytes, int | None, int]]:
         """Takes the largest subtree below the first fork out of the trie and yields what it held."""
         parent, prefix = self.root, b""
-        while len(parent.kids) == 1 and not next(iter(parent.kids.values())).count:
-            parent = next(iter(parent.kids.values()))
+        while len(parent.kids) == 1 and (kid := next(iter(parent.kids.values()))).kids and not kid.count:
+            parent = kid
             prefix += parent.edge
         sizes = {b: sum(len(n.edge) for n in walk(kid)) for b, kid in parent.kids.items()}
         b = max(sizes, key=sizes.get)
@@ -109,68 +108,39 @@ def normal(text: bytes | None) -> bytes:
     return (text or b"").lower()
 
 
-PREFIX = 16  # bytes of a trie key before the text: hash, length
-
-
-def trie_key(text: bytes) -> bytes:
-    return xxhash.xxh3_64_digest(text) + len(text).to_bytes(8, "big") + text
+def _tries(keep: str, budget: int, of_texts: bool):
+    """Rows (doc_id or owner, text, and count where a first pass has made them) -> a row for each terminal node of the task's trie."""
 
+    def out(found: list[tuple[bytes, int | None, int]]) -> pa.RecordBatch:
+        text, owner, count = zip(*found, strict=True)
+        if of_texts:
+            names = ["length", "hash", "text"]
+            key = [pa.array(map(len, text), pa.int64()), pa.array((int.from_bytes(xxhash.xxh3_64_digest(t), "big", signed=True) for t in text), pa.int64()), pa.array(text, pa.binary())]
+        else:
+            names, key = ["sha"], [pa.array((hashlib.sha256(t).digest() for t in text), pa.binary())]
+        return pa.RecordBatch.from_arrays([*key, pa.array(owner, pa.int64()), pa.array(count, pa.int64())], names=[*names, "owner", "count"])
+
+    def rows(found: Iterator[tuple[bytes, int | None, int]]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for one in found:
+            held.append(one)
+            size += len(one[0])
+            if size > 8 << 20 or len(held) >= 10_000:
+                yield out(held)
+                held, size = [], 0
+        if held:
+            yield out(held)
 
-def _combine(keep: str, budget: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = PatriciaTrie(keep)
-
-        def rows(found) -> Iterator[pa.RecordBatch]:
-            held, size = [], 0
-            for key, owner, count in found:
-                held.append((key[:PREFIX], key[PREFIX:], owner, count))
-                size += len(key)
-                if size > 8 << 20:
-                    yield _batch(held)
-                    held, size = [], 0
-            if held:
-                yield _batch(held)
-
         for batch in pieces(batches, "text", budget // 2):
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch, "text"), strict=True):
-                trie.insert(trie_key(normal(text)), doc_id)
+            counts = [1] * batch.num_rows if of_texts else batch.column(2).to_pylist()
+            for owner, text, n in zip(batch.column(0).to_pylist(), texts(batch, "text"), counts, strict=True):
+                trie.insert(normal(text) if of_texts else text, owner, n)
             while trie.size > budget:
                 yield from rows(trie.spill())
         yield from rows(trie.drain())
 
-    def _batch(held):
-        key, text, owner, count = zip(*held, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key, pa.binary()), pa.array(text, pa.binary()), pa.array(owner, pa.int64()), pa.array(count, pa.int64())],
-            names=["key", "text", "owner", "count"],
-        )
-
-    return run
-
-
-def _owners(keep: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, current = PatriciaTrie(keep), None
-
-        def batch(found):
-            found = [(hashlib.sha256(key[PREFIX:]).digest(), owner, count) for key, owner, count in found]
-            sha, owner, count = zip(*found, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(sha, pa.binary()), pa.array(owner, pa.int64()), pa.array(count, pa.int64())], names=["sha", "keep_id", "group_size"]
-            )
-
-        for part in batches:
-            done = []
-            for key, text, owner, count in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                if key != current:  # sorted input: nothing more falls into the subtree behind
-                    done += trie.drain()
-                    current = key
-                trie.insert(key + text, owner, count)
-            if done:
-                yield batch(done)
-        if found := list(trie.drain()):
-            yield batch(found)
-
     return run
 
 
@@ -184,17 +154,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z. ``keep`` says whether the smallest or the largest id
-    of a group stays. ``budget`` bounds the bytes of a task's trie. A null text counts as empty, so null and empty
-    texts form one group. Rows that repeat an id and its text are all counted and all kept if their id is.
+    of a group stays. ``budget`` bounds the bytes of a task's trie (a single longer text is held alone). A null text counts as empty, so null
+    and empty texts form one group. Rows that repeat an id and its text are all counted and all kept if their id is.
     A null id is kept only where its group has no other id. An empty table gives no rows; other columns are not read.
     """
+    pick = {"min": F.min, "max": F.max}[keep]
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    combined = rows.mapInArrow(_combine(keep, budget), "key binary, text binary, owner long, count long")
-    owners = (
-        combined.repartition("key").sortWithinPartitions("key").mapInArrow(_owners(keep), "sha binary, keep_id long, group_size long")
-    )
+    distinct = rows.mapInArrow(_tries(keep, budget, True), "length long, hash long, text binary, owner long, count long")
+    dealt = distinct.repartition("length", "hash").select("owner", "text", "count")
+    owners = dealt.mapInArrow(_tries(keep, budget, False), "sha binary, owner long, count long")
+    owners = saved(owners.groupBy("sha").agg(pick("owner").alias("keep_id"), F.sum("count").alias("group_size")))
     members = rows.mapInArrow(_digests, "doc_id long, sha binary")
-    return members.join(owners, "sha", "left").select(
+    return members.join(owners.hint("merge"), "sha", "left").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")
     )
 

@@ -53,6 +53,33 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
+def test_exact_dedup_spills_in_both_passes(spark):
+    """A budget that forces spills between the copies of a text; texts share long openings, so forks lie inside of them."""
+    texts = ["the same long opening " * 8 + str(i % 60) * (1 + i % 3) for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for keep, pick in (("min", min), ("max", max)):
+        got = by_id(exact_dedup.exact_dedup(docs, keep=keep, budget=400))
+        for i, t in enumerate(texts):
+            group = [j for j, u in enumerate(texts) if u == t]
+            assert (got[i]["keep_id"], got[i]["group_size"], got[i]["kept"]) == (pick(group), len(group), pick(group) == i)
+
+
+def test_trie_shares_openings_and_forks_inside_texts():
+    texts = [b"a common opening " * 20 + str(i).encode() for i in range(500)]
+    trie = exact_dedup.PatriciaTrie()
+    for i, t in enumerate(texts):
+        trie.insert(t, i)
+    assert trie.size < len(texts[0]) + 4 * len(texts) and sum(len(n.kids) > 1 for n in exact_dedup.walk(trie.root)) > 40
+    spilled = list(trie.spill()) + list(trie.drain())
+    assert sorted(t for t, _, _ in spilled) == sorted(texts)
+    trie.insert(b"x" * 100, 1)
+    trie.insert(b"x" * 100 + b"y", 2)
+    found = []
+    while trie.size:
+        found += trie.spill()
+    assert sorted(n for _, n, _ in found) == [1, 2]
+
+
 def test_trie_spills_by_subtree():
     rng = np.random.default_rng(3)
     keys = [bytes(rng.integers(97, 100, rng.integers(0, 9)).tolist()) for _ in range(3000)]
@@ -81,6 +108,19 @@ def test_line_dedup(docs, empty):
     assert line_dedup.apply_bitmaps(empty, line_dedup.line_bitmaps(empty)).count() == 0
 
 
+def test_line_dedup_keeps_unique_lines_of_rows_that_share_an_id_or_have_none(spark):
+    """Each row loses its own lines: namesakes have the common line at other places."""
+    unique = [f"a line of its own, the one with number {i}" for i in range(6)]
+    rows = [(1, f"{LINE}\n{unique[0]}"), (1, f"{unique[1]}\n{LINE}"), (None, f"{LINE}\n{unique[2]}"), (None, f"{unique[3]}\n{LINE}"), (5, LINE), (6, f"{LINE}\n{unique[4]}"), (1, f"{LINE}\n{unique[0]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for held in (1, 4096):
+        got = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs, held=held)).collect()
+        want = [(1, unique[0], 1), (1, unique[0], 1), (1, unique[1], 1), (5, "", 1), (6, rows[5][1], 0), (None, unique[2], 1), (None, unique[3], 1)]
+        assert sorted(((r["doc_id"], r["kept_text"], r["n_dropped"]) for r in got), key=str) == sorted(want, key=str)
+    two = spark.createDataFrame(rows[2:5], "doc_id long, text string")  # all rows without id count as one document
+    assert not line_dedup.line_bitmaps(two).count()
+
+
 def test_line_runs_over_many_partitions(spark):
     rows = [(i, f"{LINE} {i % 5}\nown line of document number {i}\n{LINE}") for i in range(300)]
     spark.conf.set("spark.sql.shuffle.partitions", "9")
@@ -151,6 +191,37 @@ def test_decontaminate(spark, docs, empty):
     assert best[(4, 0)] == (25, 3, 5) and best[(4, 20)] == (5, 3, 25)
 
 
+@pytest.mark.parametrize("block_bytes", [1, 40, 300, 1 << 20])
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch, block_bytes):
+    texts = [f"question number {i} has its own thirteen words and some more of them so that windows {i} differ" for i in range(20)]
+    docs = spark.createDataFrame([(i, f"before {t} after" if i % 2 else "clean text") for i, t in enumerate(texts)] + [(99, " ".join(texts))], "doc_id long, text string")
+    bench, live, most = spark.createDataFrame([*enumerate(texts), (50, ""), (51, None)], "item_id long, text string"), [], []
+    send = decontaminate.sent
+
+    class Held:
+        def __init__(self, block):
+            self.block = block
+            live.append(self)
+            most.append(len(live))
+
+        def unpersist(self, blocking):
+            live.remove(self)
+            self.block.unpersist(blocking)
+
+    def sent(items, k):
+        held = Held(send(items, k))
+        assert sum(len(t) for _, t in held.block.value) <= max(block_bytes, max(map(len, texts)))
+        return held
+
+    hits = decontaminate._hits
+    want = sorted(map(str, decontaminate.contamination(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "sent", sent)
+    monkeypatch.setattr(decontaminate, "_hits", lambda held, window: hits(held.block, window))
+    got = decontaminate.contamination(docs, bench, block_bytes=block_bytes).collect()
+    assert sorted(map(str, got)) == want and max(most) == 1 and len(most) == {1: 20, 40: 20, 1 << 20: 1}.get(block_bytes, len(most))
+    assert {r["doc_id"] for r in got if r["contaminated"]} == {i for i in range(20) if i % 2} | {99}
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(0)
     words = np.r_[rng.integers(1, 4, 500), 0]
