@@ -1,116 +1,214 @@
 """Language-model scoring by cross-entropy difference: a target and a background n-gram model over one vocabulary.
 
-Plan. One counting pass over all texts, which a merge join marks as target or not, and a scoring pass. All words and all pairs of
-words are counted exactly, in distributed tables that grow with the input; a word is its 64-bit hash there, and a text's first word is
-a pair with START. Word counts are sums of the pair table. Each pair gets its loss in both models: counts of words with at least
-HEAD_SHARE of all words (1 / HEAD_SHARE at most) are broadcast to the pairs, those of other words are joined by merging, so no key of
-a shuffle is frequent. The scoring pass looks up the most frequent pairs (again 1 / HEAD_SHARE at most) in the tasks, and joins all others
-with their losses. Both models interpolate pair, word and uniform probabilities with the same weights, so that a difference in loss
-is a difference in counts.
+Plan. Counts of all words and all pairs of words, without a limit on either, and no table of them that any task or the driver would hold:
+(1) Texts are dealt into pieces of bounded size by a hash of their ids, together with the ids of the target: one shuffle of texts.
+(2) A piece asks for the totals of its distinct codes (64-bit hashes of words and pairs): one sorted, packed row for each range of codes,
+with its own counts. (3) The task that has a range adds up the counts of all pieces and answers each row, in the order asked. (4) Answers
+meet the piece's texts again, and each token gets its loss in both models. A word that stands in every text is one entry of each piece, so
+no key is hot; what is shuffled is proportional to the texts.
+
+A document is scored by models that have not seen it: its own counts are taken off the background's, and off the target's where it
+belongs to that. Both models interpolate pair, word and uniform probabilities with the same weights, so that a difference in loss is a
+difference in counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import alnum_words, carried, pieces, saved, stored, table, texts
+from .common import alnum_words, carried, table, texts
 from .quality import held_out
 
-WORD_SHARE = 0.0  # words below this share of all words are one unknown word: none
-PAIR_SHARE = 0.0
-HEAD_SHARE = 1e-6  # what is sent to the tasks; the rest is joined, so results do not depend on it
 WEIGHTS = (0.6, 0.35, 0.05)  # of pairs, words, and the uniform distribution
-START = 0
-MEMO = 1 << 19  # words whose hashes a task remembers
+TYPES = 1 << 24  # word types of the uniform distribution
+PIECE_BYTES = 8 << 20  # text of a piece, about; twice as much at most, or one text
+RANGE_BYTES = 8 << 20  # text for each range of codes
+TOTAL = 0  # the code under which all words are counted; no word or pair has it
 
 
-class Hashes(dict):
-    """Word -> 64-bit hash, never START."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True) or 1
-        if len(self) < MEMO:
-            self[word] = found
-        return found
-
-
-def paired(found: list[bytes | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word before or START, word) of all words of all texts, and the words of each text."""
-    of, sizes, parts = hashes.__getitem__, [], [np.zeros(0, np.int64)]
+def coded(found: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes of all words, codes of the pairs that they end, document of each word); a text's first word ends no pair: TOTAL."""
+    of, sizes, parts = xxhash.xxh3_64_intdigest, [], [np.zeros(0, np.uint64)]
     for text in found:
         words = alnum_words(text) if text else []
         sizes.append(len(words))
-        parts.append(np.fromiter(map(of, words), np.int64, len(words)))
-    word, sizes = np.concatenate(parts), np.array(sizes, np.int64)
-    before = np.r_[START, word[:-1]][: len(word)]
-    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-    return before, word, sizes
-
-
-def pair_codes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    x = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+        parts.append(np.fromiter(map(of, words), np.uint64, len(words)))
+    word = np.maximum(np.concatenate(parts), np.uint64(1))
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    x = np.r_[np.uint64(0), word[:-1]][: len(word)] * np.uint64(0x9E3779B97F4A7C15) + word
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x ^ (x >> np.uint64(32))).view(np.int64)
+    pair = np.maximum(x ^ (x >> np.uint64(32)), np.uint64(1))
+    pair[np.r_[True, doc[1:] != doc[:-1]][: len(doc)]] = TOTAL
+    return word, pair, doc
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = Hashes()
-    for batch in pieces(batches, "text", 16 << 20):
-        before, word, sizes = paired(texts(batch, "text"), hashes)
-        of_target = np.repeat(np.array(batch.column(1).to_pylist(), bool), sizes)
-        _, first, at = np.unique(pair_codes(before, word), return_index=True, return_inverse=True)
-        n, n_target = np.bincount(at, minlength=len(first)), np.bincount(at, weights=of_target, minlength=len(first)).astype(np.int64)
-        order = np.lexsort((word[first], before[first]))
-        yield pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (before[first], word[first], n, n_target)], names=["before", "word", "n", "n_target"])
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, byte plane by byte plane, compressed."""
+    planes = (np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-@dataclass
-class Model:
-    """Counts of both models as tables, and the bounds that go with them."""
+def unpacked(body: bytes, k: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).reshape(k, 8, -1)
+    return [np.ascontiguousarray(x.T).view("<u8").ravel() for x in raw]
 
-    pairs: DataFrame  # before, word, n, n_target
-    words: DataFrame  # word, n, n_target
-    totals: tuple[int, int]  # words of the background, of the target
-    known: tuple[int, int, int]  # words that are no unknown ones, their occurrences in the background, in the target
-    word_least: float
-    pair_least: tuple[float, float]
-    head_least: float
-    weights: tuple[float, float, float] = WEIGHTS
 
-    def losses(self, pairs: DataFrame, frequent: bool = False) -> DataFrame:
-        """(before, word, target_loss, background_loss) of ``pairs``: the loss of the second word in nats, in either model.
+def whole_pieces(batches: Iterator[pa.RecordBatch], pieces: int, most: int) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """Rows (piece, is_doc, id, text, ...) sorted by the first three -> (number, rows from text on, which are of the target).
 
-        ``frequent``: all of ``pairs`` occur ``head_least`` times, so their words do as well.
-        """
-
-        def counts(column: str, name: str, where: Column) -> DataFrame:
-            return self.words.where(where).select(F.col("word").alias(column), F.col("n").alias(f"{name}0"), F.col("n_target").alias(f"{name}1"))
-
-        head = F.col("n") >= self.head_least  # 1 / HEAD_SHARE rows bound the broadcasts
-        both = pairs.join(F.broadcast(counts("word", "w", head)), "word", "left").join(F.broadcast(counts("before", "b", head)), "before", "left")
-        has_word, has_before = F.col("w0").isNotNull(), F.col("b0").isNotNull() | (F.col("before") == START)
-        pairs = both.where(has_word & has_before)
-        if not frequent:
-            joined = both.where(~has_word).drop("w0", "w1").join(counts("word", "w", ~head).hint("merge"), "word")
-            left = joined.where(~has_before).unionByName(both.where(has_word & ~has_before)).drop("b0", "b1")
-            pairs = pairs.unionByName(joined.where(has_before)).unionByName(left.join(counts("before", "b", ~head).hint("merge"), "before"))
-        both = (F.col("before") != START) & (F.col("w0") >= self.word_least) & (F.col("b0") >= self.word_least)
-        both &= (F.col("n") >= self.pair_least[0]) | (F.col("n_target") >= self.pair_least[1])
+    A piece of more than ``most`` bytes is cut, row by row, so that cuts don't depend on how rows are batched.
+    """
+    key, cut, size, ids, held = None, 0, 0, set(), []
+
+    def done():
+        rows = pa.Table.from_batches(b for b, _ in held).combine_chunks().to_batches()[0]
+        return key + cut * pieces, rows.drop_columns(["piece", "is_doc", "id"]), np.concatenate([f for _, f in held])
+
+    for batch in batches:
+        start, flags = 0, []
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0).to_pylist()
+        for i, (piece, is_doc, id_, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), lengths, strict=True)):
+            if piece != key or not is_doc or (size and size + n > most):
+                if i > start:
+                    held.append((batch.slice(start, i - start), np.array(flags, bool)))
+                if piece != key:
+                    if held:
+                        yield done()
+                    key, cut, size, ids, held = piece, 0, 0, set(), []
+                elif is_doc:
+                    yield done()
+                    cut, size, held = cut + 1, 0, []
+                start, flags = i, []
+            if not is_doc:
+                ids.add(id_)
+                start = i + 1
+                continue
+            size += n
+            flags.append(id_ in ids)
+        if batch.num_rows > start:
+            held.append((batch.slice(start), np.array(flags, bool)))
+    if held:
+        yield done()
+
+
+def _asked(pieces: int, most: int, ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, rows, target in whole_pieces(batches, pieces, most):
+            word, pair, doc = coded(texts(rows, "text"))
+            of_target = target[doc]
+            # TOTAL, under which first words have fallen among the pairs, gets the number of words.
+            codes, n = np.unique(np.concatenate([[np.uint64(TOTAL)], word, pair]), return_counts=True)
+            theirs, n_theirs = np.unique(np.concatenate([word[of_target], pair[of_target]]), return_counts=True)
+            n_target = np.zeros(len(codes), np.int64)
+            n_target[np.searchsorted(codes, theirs)] = n_theirs
+            n[0], n_target[0] = len(word), of_target.sum()
+            bounds = np.searchsorted((codes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
+            at = np.flatnonzero(np.diff(bounds))
+            bodies = [packed(np.diff(codes[a:b], prepend=np.uint64(0)), n[a:b], n_target[a:b]) for a, b in zip(bounds[at].tolist(), bounds[at + 1].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([piece] * len(at), pa.int64()), pa.array(at, pa.int64()), pa.array(bodies, pa.binary())], names=["piece", "at", "body"])
+
+    return run
+
+
+def _kept(pieces: int, most: int):
+    """The texts of each piece, and the columns that go with them, as one row with ``at`` -1."""
 
-        def loss(m: int, n: str) -> Column:
-            word = F.when(F.col("w0") >= self.word_least, F.col(f"w{m}")).otherwise(self.totals[m] - self.known[1 + m])
-            p = self.weights[1] * word / max(self.totals[m], 1) + self.weights[2] / (self.known[0] + 1)
-            return -F.log(p + F.when(both, self.weights[0] * F.col(n) / F.greatest(F.col(f"b{m}"), F.lit(1))).otherwise(F.lit(0.0)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, rows, target in whole_pieces(batches, pieces, most):
+            rows, sink = rows.append_column("target", pa.array(target)), pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as out:
+                out.write_batch(rows)
+            body = zstandard.ZstdCompressor(level=1).compress(sink.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([-1], pa.int64()), pa.array([body], pa.binary())], names=["piece", "at", "body"])
+
+    return run
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_asked`` sorted by range -> the totals of their codes over all pieces."""
+    key, held = None, []
+
+    def done():
+        pieces, asked = [p for p, _ in held], [x for _, x in held]
+        codes, at = np.unique(np.concatenate([np.cumsum(x[0]) for x in asked]), return_inverse=True)
+        totals = [np.bincount(at, weights=np.concatenate([x[k] for x in asked]), minlength=len(codes)).astype(np.int64)[at] for k in (1, 2)]
+        ends = np.cumsum([len(x[0]) for x in asked])[:-1]
+        bodies = [packed(*x) for x in zip(*(np.split(t, ends) for t in totals), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(pieces, pa.int64()), pa.array([key] * len(pieces), pa.int64()), pa.array(bodies, pa.binary())], names=["piece", "at", "body"])
+
+    for batch in batches:
+        for piece, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if at != key:
+                if held:
+                    yield done()
+                key, held = at, []
+            held.append((piece, unpacked(body, 3)))
+    if held:
+        yield done()
+
+
+def losses(found: list[bytes | None], target: np.ndarray, totals: list[np.ndarray], weights: tuple[float, float, float]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(words of each text, [sums of losses in the target model, in the background model]); ``totals``: of the codes that were asked for."""
+    word, pair, doc = coded(found)
+    codes, at = np.unique(np.concatenate([[np.uint64(TOTAL)], word, pair]), return_inverse=True)
+    of_word, of_pair = at[1 : 1 + len(word)], at[1 + len(word) :]
+    sizes = np.bincount(doc, minlength=len(found))
+
+    def own(code: np.ndarray) -> np.ndarray:
+        _, at, n = np.unique(doc * len(codes) + code, return_inverse=True, return_counts=True)
+        return n[at]
+
+    own_word, own_pair, first = own(of_word), own(of_pair), pair == TOTAL
+    before = np.r_[0, of_word[:-1]][: len(word)], np.r_[0, own_word[:-1]][: len(word)]
+    out = []
+    for m in (1, 0):
+        n, seen = totals[m], target[doc] if m else np.ones(len(doc), bool)  # a document's own words are in the counts if seen
+
+        def rest(code: np.ndarray, own: np.ndarray, n=n, seen=seen) -> np.ndarray:
+            return n[code] - own * seen
+
+        p = weights[1] * rest(of_word, own_word) / np.maximum(n[0] - sizes[doc] * seen, 1) + weights[2] / TYPES
+        p += np.where(first, 0, weights[0] * rest(of_pair, own_pair) / np.maximum(rest(*before), 1))
+        out.append(np.bincount(doc, weights=-np.log(p), minlength=len(found)))
+    return sizes, out
+
+
+def _scored(schema: pa.Schema, weights: tuple[float, float, float]):
+    """Rows of ``_kept`` and ``_answered``, sorted by piece and range -> one row per document."""
 
-        return pairs.select("before", "word", loss(1, "n_target").alias("target_loss"), loss(0, "n").alias("background_loss"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, held = None, None, []
+
+        def done():
+            totals = [np.concatenate(x).astype(np.int64) for x in zip(*held, strict=True)]
+            n, (target, background) = losses(texts(rows, "text"), rows.column("target").to_numpy(zero_copy_only=False), totals, weights)
+            mean = [x / np.maximum(n, 1) for x in (target, background)]
+            kept = [rows.column(i) for i, name in enumerate(rows.schema.names) if name not in ("text", "target")]
+            return pa.RecordBatch.from_arrays([*kept, pa.array(n), *map(pa.array, mean), pa.array(mean[0] - mean[1])], names=schema.names)
+
+        for batch in batches:
+            for piece, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if piece != key:
+                    if held:
+                        yield done()
+                    key, held = piece, []
+                if at < 0:
+                    rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_next_batch()
+                else:
+                    held.append(unpacked(body, 2))
+        if held:
+            yield done()
+
+    return run
 
 
 def target_ids(labels: DataFrame) -> DataFrame:
@@ -118,82 +216,53 @@ def target_ids(labels: DataFrame) -> DataFrame:
     return labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
 
 
-def marked(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(text, is_target) of all documents: a merge join, as the ids grow with the input; null ids are dealt over all tasks."""
-    key = lambda c: c.cast("long").cast("string")
-    ids = targets.select(key(F.col(targets.columns[0])).alias("_id")).where("_id is not null").distinct().withColumn("_target", F.lit(True))
-    alone = F.concat(F.lit("null "), F.monotonically_increasing_id().cast("string"))
-    rows = docs.select(F.coalesce(key(F.col(f"`{id_col}`")), alone).alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.join(ids.hint("merge"), "_id", "left").select("text", F.coalesce("_target", F.lit(False)).alias("is_target"))
-
-
-def fit(
-    docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE, head_share: float = HEAD_SHARE
-) -> Model:
-    """Both models: the background from all documents, the target from all those whose ids ``targets`` has."""
-    rows = marked(docs, targets, id_col, text_col)
-    pairs = rows.mapInArrow(_pair_counts, "before long, word long, n long, n_target long").groupBy("before", "word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    pairs = stored(pairs, "pairs")
-    words = saved(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")))
-    totals = tuple(int(x or 0) for x in words.agg(F.sum("n"), F.sum("n_target")).first())
-    word_least = max(1.0, word_share * totals[0])
-    known = tuple(int(x or 0) for x in words.where(F.col("n") >= word_least).agg(F.count("*"), F.sum("n"), F.sum("n_target")).first())
-    return Model(pairs, words, totals, known, word_least, tuple(max(1.0, pair_share * t) for t in totals), max(1.0, head_share * totals[0]))
-
-
-def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def score_documents(
+    docs: DataFrame,
+    targets: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: list[str] | None = None,
+    weights: tuple[float, float, float] = WEIGHTS,
+    piece_bytes: int = PIECE_BYTES,
+    range_bytes: int = RANGE_BYTES,
+) -> DataFrame:
     """One row per document: doc_id, n_tokens, target_loss, background_loss, score, and ``carry`` as the struct carried.
 
-    ``docs`` are those of ``fit``, or some of them. Losses are means over the words, in nats; score is target_loss - background_loss,
-    lower for texts that are more like the target. Null and empty texts have no tokens, and 0 for all three. Rows are judged one by
-    one. An empty table gives no rows.
+    The background counts all ``docs``, the target those whose ids the first column of ``targets`` has; both leave out the document that is
+    scored. Losses are means over the words, in nats; score is target_loss - background_loss, lower for texts that are more like the
+    target. Null and empty texts have no tokens, and 0 for all three. Rows that repeat an id, and rows without one (never of the
+    target), are documents of their own, repeated texts included. A very long text is a piece of its own. Without targets all target losses are
+    those of the uniform distribution. An empty table gives no rows.
     """
-    frequent = F.col("n") >= model.head_least
-    head = model.losses(model.pairs.where(frequent), frequent=True).toArrow()  # 1 / HEAD_SHARE rows at most
-    before, word, target, background = (head.column(i).to_numpy() for i in range(4))
-    codes = pair_codes(before.astype(np.int64), word.astype(np.int64))
-    order = np.argsort(codes)
-    sent = docs.sparkSession.sparkContext.broadcast((codes[order], np.array([target[order], background[order]], float)))
+    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces, ranges = (max(least, -(-total // n)) for n in (piece_bytes, range_bytes))
 
-    keep = carried(id_col, carry)
-    inner = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), F.monotonically_increasing_id().alias("_row"), *(c.alias(n) for n, c in keep.items()))
-    kept = inner.schema.fields[2:]
-    names = ["_row", "_before", "_word", "_k", "_n", "_t", "_b", *keep]
-    made = T.StructType.fromDDL("_row long, _before long, _word long, _k long, _n long, _t double, _b double").fields
+    def piece_of(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(pieces)).cast("long").alias("piece")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (codes, values) = Hashes(), sent.value
-        for batch in pieces(batches, "_text", 8 << 20):
-            before, word, sizes = paired(texts(batch, "_text"), hashes)
-            code, doc = pair_codes(before, word), np.repeat(np.arange(len(sizes)), sizes)
-            at = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
-            near = codes[at] == code if len(codes) else np.zeros(len(code), bool)
-            base = [np.bincount(doc[near], weights=v[at[near]], minlength=len(sizes)).astype(float) for v in values]
-            far = np.flatnonzero(~near)
-            far = far[np.lexsort((code[far], doc[far]))]
-            new = np.r_[True, (np.diff(code[far]) != 0) | (np.diff(doc[far]) != 0)][: len(far)]
-            k = np.diff(np.r_[np.flatnonzero(new), len(far)])
-            far, none, rows = far[new], np.zeros(new.sum(), np.int64), batch.column(1).to_numpy()
-            # A row per document, which meets no pair, and one for each of its pairs.
-            columns = [np.r_[rows, rows[doc[far]]], np.r_[np.full(len(sizes), START), before[far]], np.r_[rows, word[far]], np.r_[sizes * 0, k], np.r_[sizes, none], np.r_[base[0], none], np.r_[base[1], none]]
-            held = pa.array(np.r_[np.arange(len(sizes)), none], mask=np.r_[np.zeros(len(sizes), bool), np.ones(len(far), bool)])
-            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), *(c.take(held) for c in batch.columns[2:])], names=names)
-
-    rows = inner.mapInArrow(run, T.StructType(made + [T.StructField(f.name, f.dataType) for f in kept]))
-    code = F.xxhash64("_before", "_word")
-    rows = rows.withColumn("_code", code).drop("_before", "_word")
-    losses = model.losses(model.pairs.where(~frequent)).select(F.xxhash64("before", "word").alias("_code"), "target_loss", "background_loss")
-    sums = rows.join(losses.hint("merge"), "_code", "left").groupBy("_row").agg(
-        F.sum("_n").alias("n_tokens"),
-        *(F.sum(F.col(own) + F.col("_k") * F.coalesce(other, F.lit(0.0))).alias(other) for own, other in (("_t", "target_loss"), ("_b", "background_loss"))),
-        *(F.first(c, ignorenulls=True).alias(c) for c in keep),
+    keep = carried(id_col, carry)
+    rows = docs.select(
+        piece_of(F.coalesce(doc_id, F.xxhash64(text))), F.lit(True).alias("is_doc"), doc_id.alias("id"), text.alias("text"), F.xxhash64(text).alias("_version"), *(c.alias(f"_c{i}") for i, c in enumerate(keep.values()))
     )
-    mean = lambda c: F.col(c) / F.greatest("n_tokens", F.lit(1))
-    out = sums.withColumns({"target_loss": mean("target_loss"), "background_loss": mean("background_loss")}).withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    kept = [f for f in rows.schema.fields if f.name.startswith("_c")]
+    ids = targets.select(F.col(targets.columns[0]).cast("long").alias("id")).where("id is not null").distinct()
+    rows = rows.unionByName(ids.select(piece_of(F.col("id")), F.lit(False).alias("is_doc"), "id"), allowMissingColumns=True)
+    rows = rows.repartition("piece").sortWithinPartitions("piece", "is_doc", "id", "_version").drop("_version")
+
+    form, most = "piece long, at long, body binary", 2 * piece_bytes
+    asked = rows.mapInArrow(_asked(pieces, most, ranges), form)
+    answered = asked.repartition("at").sortWithinPartitions("at", "piece").mapInArrow(_answered, form)
+    both = answered.unionByName(rows.mapInArrow(_kept(pieces, most), form)).repartition("piece").sortWithinPartitions("piece", "at")
+    made = T.StructType.fromDDL("_n long, _t double, _b double, _s double").fields
+    schema = T.StructType(kept + made)
+    out = both.mapInArrow(_scored(pa.schema([(f.name, pa.null()) for f in schema.fields]), weights), schema)
+    names = [*keep, "n_tokens", "target_loss", "background_loss", "score"]
+    out = out.select(*(F.col(f.name).alias(n) for f, n in zip(schema.fields, names, strict=True)))
     return out.select("doc_id", *(["carried"] if carry else []), "n_tokens", "target_loss", "background_loss", "score")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored; target: documents labelled good; background: all documents."""
-    docs = table(spark, sf_dir, "documents")
-    return score_documents(docs, fit(docs, target_ids(table(spark, sf_dir, "labels"))))
+    return score_documents(table(spark, sf_dir, "documents"), target_ids(table(spark, sf_dir, "labels")))

@@ -97,27 +97,25 @@ def secrets(text):
     return sorted(out)
 
 
-def lm_scores(texts, target, word_share, pair_share, weights):
-    """id -> (number of words, mean target loss, mean background loss), from plain counts."""
+def lm_scores(texts, target, weights, types):
+    """id -> (number of words, mean target loss, mean background loss), from plain counts of all other documents."""
     import math
     from collections import Counter
 
     w = {i: words(t) for i, t in texts.items()}
-    every = [Counter(x for i in w for x in w[i]), Counter(x for i in w if i in target for x in w[i])]
+    theirs = [w, {i: x for i, x in w.items() if i in target}]
+    every = [Counter(y for x in m.values() for y in x) for m in theirs]
+    pairs = [Counter(p for x in m.values() for p in zip(x, x[1:], strict=False)) for m in theirs]
     totals = [sum(c.values()) for c in every]
-    known = {x for x, n in every[0].items() if n >= max(1.0, word_share * totals[0])}
-    pairs = [Counter(p for i in w if m == 0 or i in target for p in zip(w[i], w[i][1:], strict=False) if known.issuperset(p)) for m in (0, 1)]
-    shared = {p for p in pairs[0] if pairs[0][p] >= max(1.0, pair_share * totals[0]) or pairs[1][p] >= max(1.0, pair_share * totals[1])}
-    other = [totals[m] - sum(every[m][x] for x in known) for m in (0, 1)]
     out = {}
     for i, x in w.items():
-        loss = [0.0, 0.0]
-        for k, word in enumerate(x):
-            for m in (0, 1):
-                n = every[m][word] if word in known else other[m]
-                p = weights[1] * n / max(totals[m], 1) + weights[2] / (len(known) + 1)
-                if k and (x[k - 1], word) in shared:
-                    p += weights[0] * pairs[m][(x[k - 1], word)] / max(every[m][x[k - 1]], 1)
+        loss, own, own_pairs = [0.0, 0.0], Counter(x), Counter(zip(x, x[1:], strict=False))
+        for m in (0, 1):
+            seen = i in theirs[m]
+            for k, word in enumerate(x):
+                p = weights[1] * (every[m][word] - own[word] * seen) / max(totals[m] - len(x) * seen, 1) + weights[2] / types
+                if k:
+                    p += weights[0] * (pairs[m][(x[k - 1], word)] - own_pairs[(x[k - 1], word)] * seen) / max(every[m][x[k - 1]] - own[x[k - 1]] * seen, 1)
                 loss[m] -= math.log(p)
         out[i] = (len(x), loss[1] / max(len(x), 1), loss[0] / max(len(x), 1))
     return out

@@ -308,23 +308,39 @@ def test_pieces_bound_bytes_not_rows():
 def test_language_model(spark, docs, empty, labels):
     from quillmine.llm import language_model as lm
 
-    model = lm.fit(docs, lm.target_ids(labels))
-    got = lm.score_documents(docs, model, carry=["source", "kept"]).collect()
-    assert len(got) == len(ROWS) and all(r["n_tokens"] > 0 or r["score"] == 0 for r in got) and got[0]["carried"] is not None
-    assert lm.score_documents(empty, lm.fit(empty, lm.target_ids(labels))).count() == 0
+    got = lm.score_documents(docs, lm.target_ids(labels), carry=["source", "kept", "score"]).collect()
+    assert len(got) == len(ROWS) and all(r["n_tokens"] > 0 or r["score"] == r["target_loss"] == 0 for r in got) and got[0]["carried"]["score"] == "s"
+    assert {r["doc_id"]: r["n_tokens"] for r in got}[3] == 30_000
+    assert lm.score_documents(empty, lm.target_ids(labels)).count() == 0
+    # Rows that share an id are documents of their own; rows without id are never of the target.
+    rows = [(1, "a b c"), (1, "a b d"), (None, "a b c"), (2, "x y"), (3, None), (None, "a b c")]
+    targets = spark.createDataFrame([(1,), (1,), (None,), (77,)], "id long")
+    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), targets, piece_bytes=4, range_bytes=1).collect()
+    from .brute import lm_scores
+
+    want = lm_scores({i: t for i, (_, t) in enumerate(rows)}, {0, 1}, lm.WEIGHTS, lm.TYPES)
+    key = lambda x: (x[0] is None, x[0] or 0, *(round(v, 9) for v in x[1:]))
+    assert sorted(map(key, ((r["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in got))) == sorted(key((rows[i][0], *x)) for i, x in want.items())
+
+
+def test_language_model_sets_apart_what_occurs_twice(spark):
+    """Each document is scored by what the others say, so one with a copy stands out from one without, however rare its words."""
+    from quillmine.llm import language_model as lm
+
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{i}x{j}" for j in rng.integers(0, 1 << 40, 50)) for i in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts), (100, texts[7])], "doc_id long, text string")
+    got = by_id(lm.score_documents(docs, spark.range(0).toDF("id")))
+    assert min(got, key=lambda i: got[i]["background_loss"]) in (7, 100) and got[7]["background_loss"] < got[8]["background_loss"] - 5
 
 
-def test_language_model_counts_every_target(spark):
+def test_packed_arrays_round_trip():
     from quillmine.llm import language_model as lm
 
-    n = 28_000
-    many = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
-    ids = lm.target_ids(many)
-    assert ids.count() == many.where(~quality.held_out(F.col("doc_id"))).count()
-    texts = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("word").alias("text")).unionByName(spark.createDataFrame([(None, "word other")], "doc_id long, text string"))
-    targets = many.select("doc_id").unionByName(spark.createDataFrame([(0,), (None,)], "doc_id long"))
-    found = lm.marked(texts, targets, "doc_id", "text").groupBy("is_target").count().collect()
-    assert dict(map(tuple, found)) == {True: n, False: 1}
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 77):
+        a = [rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2), rng.integers(0, 3, n).astype(np.uint64)]
+        assert all((x == y).all() and len(x) == len(y) for x, y in zip(a, lm.unpacked(lm.packed(*a), 2), strict=True))
 
 
 def test_one_very_long_labelled_text_costs_only_itself(spark):

@@ -116,29 +116,22 @@ def test_pipeline(spark, docs):
     assert {(r["doc_id"], r["repeats"]) for r in mixed} == {(r["doc_id"], r["repeats"]) for r in out}
 
 
-def test_lm_score(spark, docs):
-    from quillmine.llm import language_model as lm
-
-    target = {r[0] for r in lm.target_ids(spark.read.parquet(f"{SF}/labels.parquet")).collect()}
-    texts = {i: r["text"] for i, r in docs.items()}
-    got = rows(spark, "op9_lm_score")
-    want = brute.lm_scores(texts, target, lm.WORD_SHARE, lm.PAIR_SHARE, lm.WEIGHTS)
+def agree(got, want):
+    assert got.keys() == want.keys()
     for i, (n, t, b) in want.items():
         r = got[i]
         assert r["n_tokens"] == n and abs(r["target_loss"] - t) < 1e-9 and abs(r["background_loss"] - b) < 1e-9 and abs(r["score"] - (t - b)) < 1e-9
-    all_docs, shares = spark.read.parquet(f"{SF}/documents.parquet"), (1e-3, 1e-4)
-    pruned = {r["doc_id"]: r for r in lm.score_documents(all_docs, lm.fit(all_docs, lm.target_ids(spark.read.parquet(f"{SF}/labels.parquet")), word_share=shares[0], pair_share=shares[1])).collect()}
-    want = brute.lm_scores(texts, target, *shares, lm.WEIGHTS)
-    assert all(abs(pruned[i]["target_loss"] - t) < 1e-9 and abs(pruned[i]["background_loss"] - b) < 1e-9 for i, (_, t, b) in want.items())
 
 
-@pytest.mark.parametrize("head_share", [1.0, 1e-4])
-def test_lm_score_counts_all_words_and_pairs(spark, docs, head_share):
+@pytest.mark.parametrize("sizes", [None, (1, 1), (20_000, 3000), (1 << 20, 100)])
+def test_lm_score(spark, docs, sizes):
+    """All words and pairs are counted; pieces and ranges of any size give the same scores."""
     from quillmine.llm import language_model as lm
 
-    assert lm.WORD_SHARE == lm.PAIR_SHARE == 0
-    all_docs, target = spark.read.parquet(f"{SF}/documents.parquet"), lm.target_ids(spark.read.parquet(f"{SF}/labels.parquet"))
-    want = brute.lm_scores({i: r["text"] for i, r in docs.items()}, {r[0] for r in target.collect()}, 0.0, 0.0, lm.WEIGHTS)
-    got = {r["doc_id"]: r for r in lm.score_documents(all_docs, lm.fit(all_docs, target, head_share=head_share)).collect()}
-    assert got.keys() == want.keys()
-    assert all(got[i]["n_tokens"] == n and abs(got[i]["target_loss"] - t) < 1e-9 and abs(got[i]["background_loss"] - b) < 1e-9 for i, (n, t, b) in want.items())
+    target = lm.target_ids(spark.read.parquet(f"{SF}/labels.parquet"))
+    want = brute.lm_scores({i: r["text"] for i, r in docs.items()}, {r[0] for r in target.collect()}, lm.WEIGHTS, lm.TYPES)
+    if sizes is None:
+        agree(rows(spark, "op9_lm_score"), want)
+    else:
+        some = spark.read.parquet(f"{SF}/documents.parquet").repartition(3)
+        agree({r["doc_id"]: r for r in lm.score_documents(some, target, piece_bytes=sizes[0], range_bytes=sizes[1]).collect()}, want)
