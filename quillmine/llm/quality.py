@@ -117,8 +117,9 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_DOCUMENTS, max_bytes: int = SAMPLE_BYTES) -> Model:
     """Half of each sample trains a dictionary, the other half the calibration, weighted to the labels' true shares.
 
-    One task trains on the sample, whose size is bounded; the driver gets the model alone. Where a label has no documents, all texts get the
-    share of label 1 among the labels (0.5 without labels).
+    One task trains on the sample, whose size is bounded; the driver gets the model alone. The only document of a label does both. Where a
+    label has no document with a text, nothing tells the labels apart, and all texts get the share of label 1 among the labels (0.5
+    without labels). Labels that are null or neither 0 nor 1, and those without id, are not learned from.
     """
     shares = {q: n for q, n in labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("quality").count().collect()}  # two rows
     total = sum(shares.values())
@@ -128,11 +129,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for q, text in zip(batch.column(0).to_pylist(), texts(batch, "text"), strict=True):
                 found[q].append(text)
-        if min(map(len, found.values())) < 2:
+        if not all(found.values()):
             return
         good, bad = (dictionary(found[q][::2]) for q in (1, 0))
         measure = Measure(good, bad)
-        x = {q: np.array([measure(t) for t in found[q][1::2]]) for q in (1, 0)}
+        x = {q: np.array([measure(t) for t in found[q][1::2] or found[q]]) for q in (1, 0)}
         y = np.r_[np.ones(len(x[1])), np.zeros(len(x[0]))]
         weight = np.r_[np.full(len(x[1]), shares[1] / total / len(x[1])), np.full(len(x[0]), shares[0] / total / len(x[0]))] * len(y)
         weights = calibrate(np.r_[x[1], x[0]], y, weight)
@@ -149,8 +150,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, and ``carry`` as the struct carried.
 
-    Null counts as empty; an empty text gets the score of inputs 0, 0. Scores depend on the text alone: equal texts have equal
-    scores, and rows are judged one by one. A null id is not held out. An empty table gives no rows.
+    Null counts as empty; an empty text gets the score of inputs 0, 0. Scores depend on the text alone, whole however long: equal texts
+    have equal scores, and rows are judged one by one, repeated ones alike. A null id is not held out. An empty table gives no rows. Columns
+    of ``docs`` that have names of the result are read only as members of ``carried``.
     """
 
     def make():
@@ -172,6 +174,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier takes for good."""
+    """Documents that the classifier takes for good, all columns as they were.
+
+    Null and empty texts have the score of inputs 0, 0 and stay or go together; repeated rows share their fate. An empty table stays empty.
+    """
     model = fit(docs, table(spark, sf_dir, "labels"))
     return score_quality(docs, model, carry=docs.columns).where("predicted = 1").select("carried.*")
