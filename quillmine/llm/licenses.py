@@ -22,8 +22,58 @@ BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("c
 
 _OPT, _END = " <<beginOptional>> ", " <<endOptional>> "
 _VERSION = _OPT + "version" + _END + _OPT + "v" + _END
+_WARRANTY = """without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a
+ particular purpose and noninfringement in no event shall the <<var;max=6>> be liable for any claim damages or other liability whether in
+ an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"""
+_BSD_CONDITIONS = """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are
+ met <<var;max=1>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var;max=1>>
+ redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or
+ other materials provided with the distribution"""
+_BSD_WARRANTY = """this software is provided by <<var;max=12>> as is and any express or implied warranties including but not limited to the implied warranties of
+ merchantability and fitness for a particular purpose are disclaimed in no event shall <<var;max=12>> be liable for any direct indirect incidental special exemplary or
+ consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on
+ any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the
+ possibility of such damage"""
+#: Texts of licences (template, label): what is replaceable or optional is marked, all else must stand there.
+TEXTS = [
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without"
+        " limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"
+        " the above copyright notice and this permission notice" + _OPT + "including the next paragraph" + _END + "shall be included in all copies or substantial portions of the software the software is provided as is " + _WARRANTY,
+        "mit-text",
+    ),
+    (
+        "permission to use copy modify and" + _OPT + "or" + _END + "distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"
+        " the software is provided as is and <<var;max=6>> disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall <<var;max=6>> be liable for any special direct"
+        " indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or"
+        " performance of this software",
+        "isc-text",
+    ),
+    (_BSD_CONDITIONS + " " + _BSD_WARRANTY, "bsd-2-clause-text"),
+    (
+        _BSD_CONDITIONS + " <<var;max=1>> neither the name of <<var;max=12>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission " + _BSD_WARRANTY,
+        "bsd-3-clause-text",
+    ),
+    (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at" + _OPT + "http www apache org licenses license 2 0" + _END
+        + _OPT + "https www apache org licenses license 2 0" + _END + "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"
+        " either express or implied see the license for the specific language governing permissions and limitations under the license",
+        "apache-2.0-notice",
+    ),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version <<var;max=1>> of the license or"
+        + _OPT + "at your option" + _END + "any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"
+        " see the gnu general public license for more details",
+        "gpl-notice",
+    ),
+    (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software"
+        " for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+        "zlib",
+    ),
+]
 #: (template, label) of the method: wording of notices that are in public use.
-TEMPLATES = [
+TEMPLATES = TEXTS + [
     ("apache license" + _VERSION + "2" + _OPT + "0" + _END, "apache-2.0"),
     ("gnu general public license" + _OPT + "gpl" + _END + _VERSION + "2" + _OPT + "0" + _END, "gpl-2.0"),
     ("gnu general public license" + _OPT + "gpl" + _END + _VERSION + "3" + _OPT + "0" + _END, "gpl-3.0"),
@@ -158,7 +208,8 @@ def scan_licenses(
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Every place of a base phrase is a match, overlapping ones
     too, and so is the longest match of a template at each place. score is 0 without matches and grows with the words of the longest
-    one: 1 - 0.5 ** (words / 4). Null and empty texts have no words and no matches. Rows are judged one by one.
+    one: 1 - 0.5 ** (words / 4). Null and empty texts have no words and no matches. Rows are judged one by one, repeated ones alike, and whole,
+    however long. An empty table gives no rows; other columns are not read but for ``carry``.
     """
     compiled(base, templates)  # errors in templates show here
 
