@@ -1,7 +1,7 @@
 """Secret scans in DataFrame expressions only: fixed patterns, and sliding-window entropy over candidate strings.
 
-Plan. One projection over the texts, without a shuffle. Places of matches come from folding the pieces between
-matches (``split``) with the matches (``regexp_extract_all``). Cheap substring tests keep most texts away from the
+Plan. One projection over the texts, without a shuffle. Places of matches come from running sums over the lengths of the pieces between
+matches (``split``) and of the matches (``regexp_extract_all``). Cheap substring tests keep most texts away from the
 patterns. The entropy of a window is log2(w) - S / w with S the sum of n log2 n over the counts n of its characters;
 moving the window by one changes two counts and S by four terms.
 """
@@ -9,6 +9,7 @@ moving the window by one changes two counts and S by four terms.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,8 +43,33 @@ CLASSES = [
     CharClass("entropy_hex", DIGITS + "abcdefABCDEF", r"(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{16,}(?![A-Za-z0-9])", 16, 2.9),
     CharClass("entropy_base64", UPPER + LOWER + DIGITS + "+/_-", r"(?<![A-Za-z0-9+/_-])(?=[A-Z+/_-]*[a-z0-9+/_-]*[A-Z0-9])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}", 20, 3.5),
 ]
-#: A candidate that one of these matches is no finding of the entropy method; the base patterns are not affected.
-ALLOWED = [r"(?i)example", r"(?i)(.)\1{5,}", "(?i)0123456789", "(?i)abcdefgh", r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"]
+#: What one of these matches is cut out of a candidate, and the parts on either side of it are judged by themselves; a match of a whole
+#: candidate (``^...$``) leaves nothing. The base patterns are not affected. One group at most, the first, may be referred to by ``\\1``.
+ALLOWED = ["example", r"(.)\1{5,}", "0123456789", "abcdefgh", "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"]
+
+
+BLOCK = 64  # values that one fold adds up
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is evaluated once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running(values: Column) -> Column:
+    """Sums of an int array up to each place, in folds over blocks, as a fold copies what it has each time."""
+    none = F.array().cast("array<int>")
+
+    def fold(part: Column, start: Column) -> Column:
+        step = lambda state, x: F.struct((state["at"] + x).alias("at"), F.concat(state["out"], F.array(state["at"] + x)).alias("out"))
+        return F.aggregate(part, F.struct(start.alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+    def blocks(all_: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), lambda k: F.slice(all_, k * BLOCK + 1, BLOCK))
+        ends = lambda parts: fold(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda n, x: n + x)), F.lit(0))
+        return let(parts, lambda parts: let(ends(parts), lambda ends: F.flatten(F.transform(parts, lambda p, k: fold(p, F.coalesce(F.get(ends, k - 1), F.lit(0)))))))
+
+    return let(values, lambda all_: F.when(F.size(all_) > 0, blocks(all_)).otherwise(none))
 
 
 def places(text: Column, pattern: str, group: int = 0) -> Column:
@@ -52,15 +78,20 @@ def places(text: Column, pattern: str, group: int = 0) -> Column:
     zipped = F.arrays_zip(
         F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("gap"), found.alias("match"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part")
     )
-    none = F.array().cast("array<struct<start:int,end:int,match:string,part:string>>")
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["part"].alias("part"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+    def place(ends: Column) -> Callable[[Column, Column], Column]:
+        return lambda x, k: F.struct((F.get(ends, k) - F.length(x["match"])).alias("start"), F.get(ends, k).alias("end"), x["match"].alias("match"), x["part"].alias("part"))
+
+    return let(zipped, lambda z: let(running(F.transform(z, lambda x: F.length(x["gap"]) + F.length(x["match"]))), lambda ends: F.transform(z, place(ends))))
+
 
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+def between(text: Column, pattern: str) -> Column:
+    """What the matches of a pattern leave: array of (start, text), in order; all of it where there are none."""
+    left = F.split(text, pattern, -1)
+    cut = F.concat(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.array(F.lit("")))
+    zipped = F.arrays_zip(left.alias("left"), F.slice(cut, F.lit(1), F.size(left)).alias("cut"))
+    one = lambda ends: lambda x, k: F.struct((F.get(ends, k) - F.length(x["cut"]) - F.length(x["left"])).alias("start"), x["left"].alias("text"))
+    return let(zipped, lambda z: let(running(F.transform(z, lambda x: F.length(x["left"]) + F.length(x["cut"]))), lambda ends: F.transform(z, one(ends))))
 
 
 def spans(found: Column, order: int, kind: str, keep=lambda x: F.lit(True)) -> Column:
@@ -105,15 +136,15 @@ def _last(state, at, s, full, of) -> Column:
 
 
 def entropy_spans(text: Column, order: int, of: CharClass, allowed: list[str]) -> Column:
-    """Candidates of one class with a window of high entropy: from the first such window's start to the last one's end."""
+    """Parts of candidates of one class with a window of high entropy: from the first such window's start to the last one's end."""
 
-    def suppressed(x: Column) -> Column:
-        out = F.lit(False)
-        for pattern in allowed:
-            out = out | x["match"].rlike(pattern)
-        return out
+    def parts(x: Column) -> Column:
+        whole = F.array(F.struct(F.lit(0).alias("start"), x["match"].alias("text")))
+        left = between(x["match"], "(?i)" + "|".join(allowed)) if allowed else whole
+        return F.transform(left, lambda y: F.struct((x["start"] + y["start"]).alias("at"), y["text"].alias("text")))
 
-    tried = F.transform(F.filter(places(text, of.pattern), lambda x: ~suppressed(x)), lambda x: F.struct(x["start"].alias("at"), windows(x["match"], of).alias("w")))
+    long = F.filter(F.flatten(F.transform(places(text, of.pattern), parts)), lambda x: F.length(x["text"]) >= of.window)
+    tried = F.transform(long, lambda x: F.struct(x["at"], windows(x["text"], of).alias("w")))
     return F.transform(
         F.filter(tried, lambda x: x["w"]["first"] >= 0),
         lambda x: F.struct((x["at"] + x["w"]["first"]).alias("start"), F.lit(order).alias("order"), (x["at"] + x["w"]["last"] + of.window).alias("end"), F.lit(of.kind).alias("kind")),
@@ -128,9 +159,10 @@ def find_secrets(
 ) -> DataFrame:
     """One row per document: doc_id, base and added (arrays of (start, order, end, kind) by start, then kind), and ``carry`` as the struct carried.
 
-    base: matches of the fixed patterns; added: spans of high entropy that no base span holds and ``allowed`` does not suppress.
-    Null counts as empty; an empty text has no spans. Rows are judged one by one, repeated ones alike; other columns are not read.
-    The time for a text grows with its length, and with the square of its number of matches.
+    base: matches of the fixed patterns; added: spans of high entropy in what ``allowed`` leaves of candidates, unless a base span holds them.
+    Null counts as empty; an empty text has no spans, and an empty table gives no rows. Rows are judged one by one, repeated ones alike;
+    other columns are not read but for ``carry``. Whole texts are scanned, however long; the time for a text grows with its length and its
+    number of matches.
     """
     some = lambda when, what: F.when(when, what).otherwise(F.array().cast(NONE))
     rows = docs.select(*(c.alias(n) for n, c in carried(id_col, carry).items()), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
