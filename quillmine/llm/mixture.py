@@ -2,8 +2,9 @@
 
 Plan. Word counts are computed once and stored without texts. Per-source totals, ranks and targets are small frames;
 the water level is found by a few aggregates over the sources. A fraction of a repetition goes to the documents that
-come first in a seeded order: a histogram of words over ``BUCKETS`` ranges of the seeded hash finds the range in which
-the fraction is reached, and only that range's documents are sorted, so no source, however large, meets in one task.
+come first in a seeded order: a histogram of words over ranges of the seeded hash finds the range in which
+the fraction is reached, and only that range's documents are sorted. There are as many ranges as a range has documents, about (the square root
+of a source's), so no source, however large, meets in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql.window import Window as W
 
 from .common import saved, table
 
-BUCKETS = 4096
 WEIGHTS = [1, 2, 3]
 
 
@@ -47,55 +47,67 @@ def water_fill(sources: DataFrame, most: int) -> DataFrame:
     return sources.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
 
 
+def buckets(rows: int) -> int:
+    """A power of two of about the square root of a source's rows: as many ranges of the hash, and as many rows in each of them."""
+    return 1 << max(6, (max(rows, 1) - 1).bit_length() // 2)
+
+
 def mix(docs: DataFrame, weights: list[float] = WEIGHTS, most: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, source, size (words), source_size, target, repeats, taken (= size * repeats).
 
     Sources by code point, null last, weigh ``weights``, repeating. A null or empty text has size 0, and takes nothing; a source
-    of such texts has target 0. The extra repetition goes to whole documents in a seeded order, while the target allows; one more
-    document, of the size nearest to what is then missing, closes the gap. Rows that share id and text are decided one by one, next to each other in the order. The same
-    rows give the same result in any partitioning. An empty table gives no rows.
+    of such texts has target 0. The extra repetition goes to whole documents in a seeded order, while the target allows; documents that
+    are longer than what is missing are passed over, and the order is gone through again until no document fits. One
+    more document, of the size nearest to what is then missing, closes the gap if that brings the source nearer to its target.
+    Rows that share id and text are decided one by one, next to each other in the order (ties by row). The same
+    rows give the same result in any partitioning, up to which of several such rows is taken. Very long texts are counted whole.
+    An empty table gives no rows; other columns are not read.
     """
+    return placed_mix(docs, weights, most, seed, id_col, text_col, source_col).drop("row")
+
+
+def placed_mix(docs: DataFrame, weights: list[float] = WEIGHTS, most: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``mix`` with ``row``, the place of the row in ``docs``: its monotonically_increasing_id()."""
     text, doc_id = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.col(f"`{id_col}`").cast("long")
     sizes = saved(
         docs.select(
-            doc_id.alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.xxhash64(F.lit(seed), doc_id).alias("_hash"), F.monotonically_increasing_id().alias("_row")
+            doc_id.alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.xxhash64(F.lit(seed), doc_id).alias("_hash"), F.monotonically_increasing_id().alias("row")
         )
     )
-    sources = ranked(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
+    sources = ranked(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")))
+    n = buckets(sources.agg(F.max("_rows")).first()[0] or 0)
     weight = F.get(F.array(*(F.lit(float(w)) for w in weights)), (F.col("rank") % len(weights)).cast("int"))
     sources = water_fill(sources.withColumn("weight", weight), most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    sources = sources.withColumn("_whole", F.floor(rate)).withColumn("_need", F.col("target") - F.col("_whole") * F.col("source_size")).select("source", "source_size", "target", "_whole", "_need")
-
-    bucket = F.shiftrightunsigned("_hash", 64 - (BUCKETS.bit_length() - 1)).cast("int")
-    sizes = sizes.withColumn("_bucket", bucket)
-    so_far = F.sum("_words").over(W.partitionBy("source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow))
-    levels = sizes.groupBy("source", "_bucket").agg(F.sum("size").alias("_words")).withColumn("_to", so_far)
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    levels = levels.withColumnRenamed("source", "_source")
-    cuts = (
-        sources.join(levels, sources["source"].eqNullSafe(levels["_source"]) & (levels["_to"] >= F.least(sources["_need"], sources["source_size"])))
-        .groupBy("source", "source_size", "target", "_whole", "_need")
-        .agg(F.min_by(F.struct("_bucket", (F.col("_to") - F.col("_words")).alias("_before")), "_bucket").alias("_cut"))
-        .select(F.col("source").alias("_source"), "source_size", "target", "_whole", (F.col("_need") - F.col("_cut._before")).alias("_rest"), F.col("_cut._bucket").alias("_cut"))
-    )
-    rows = sizes.join(cuts, sizes["source"].eqNullSafe(cuts["_source"])).drop("_source")
-    up_to = F.sum("size").over(W.partitionBy("source").orderBy("_hash", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow))
-    at_cut = rows.where("_bucket = _cut").withColumn("_up_to", up_to).withColumn("_extra", F.col("_up_to") <= F.col("_rest"))
-    at_cut = saved(at_cut)
-    out = rows.where("_bucket != _cut").withColumn("_extra", F.col("_bucket") < F.col("_cut")).unionByName(at_cut.drop("_up_to"))
-    gaps = at_cut.groupBy(F.col("source").alias("_source")).agg((F.max("_rest") - F.coalesce(F.max(F.when(F.col("_extra"), F.col("_up_to"))), F.lit(0))).alias("_gap"))
+    sources = sources.withColumn("_whole", F.floor(rate)).withColumn("_need", F.col("target") - F.col("_whole") * F.col("source_size"))
+    sources = saved(sources.select(F.col("source").alias("_source"), "source_size", "target", "_whole", "_need"))
+
+    of_source = F.col("source").eqNullSafe(F.col("_source"))
+    rows = sizes.withColumns({"_bucket": F.shiftrightunsigned("_hash", 64 - (n.bit_length() - 1)).cast("int"), "_extra": F.lit(False)})
+    gaps = sources.select("_source", F.col("_need").alias("_gap"))
+    fits = ~F.col("_extra") & (F.col("size") > 0) & (F.col("size") <= F.col("_gap"))
+    while True:
+        open_ = rows.join(gaps, of_source)
+        levels = open_.where(fits).groupBy("_source", "_gap", "_bucket").agg(F.sum("size").alias("_words"))
+        levels = levels.withColumn("_to", F.sum("_words").over(W.partitionBy("_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)))
+        # The range in which the gap is reached; without one, all that fits is taken.
+        over = F.when(F.col("_to") > F.col("_gap"), F.struct(F.col("_bucket"), (F.col("_to") - F.col("_words")).alias("_before")))
+        cuts = saved(levels.groupBy("_source", "_gap").agg(F.min(over).alias("_at")).select("_source", "_gap", F.coalesce("_at._bucket", F.lit(n)).alias("_cut"), F.coalesce(F.col("_gap") - F.col("_at._before"), F.lit(0.0)).alias("_rest")))
+        if cuts.isEmpty():
+            break
+        rows = rows.join(cuts, of_source, "left")
+        at_cut = F.coalesce(fits & (F.col("_bucket") == F.col("_cut")), F.lit(False))
+        up_to = F.sum("size").over(W.partitionBy("source").orderBy("_hash", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, W.currentRow))
+        cut = rows.where(at_cut).withColumn("_extra", up_to <= F.col("_rest"))
+        rest = rows.where(~at_cut).withColumn("_extra", F.col("_extra") | F.coalesce(fits & (F.col("_bucket") < F.col("_cut")), F.lit(False)))
+        rows = saved(rest.unionByName(cut).select(*sizes.columns, "_bucket", "_extra"))
+        got = rows.where("_extra").groupBy("source").agg(F.sum("size").alias("_got"))
+        gaps = saved(sources.join(got, of_source, "left").select("_source", (F.col("_need") - F.coalesce("_got", F.lit(0))).alias("_gap")))
     off = F.abs(F.col("size") - F.col("_gap"))
-    last = (
-        out.where(~F.col("_extra"))
-        .join(gaps, F.col("source").eqNullSafe(F.col("_source")))
-        .where(off < F.col("_gap"))
-        .groupBy("_source")
-        .agg(F.min_by("_row", F.struct(off.alias("off"), "_hash", "doc_id", "_row")).alias("_last"))
-    )
-    out = out.join(last, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn("_extra", F.col("_extra") | F.coalesce(F.col("_row") == F.col("_last"), F.lit(False)))
-    repeats = F.col("_whole") + F.col("_extra").cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"))
+    last = rows.where(~F.col("_extra")).join(gaps, of_source).where(off < F.col("_gap")).groupBy("_source").agg(F.min_by("row", F.struct(off.alias("off"), "_hash", "doc_id", "row")).alias("_last"))
+    out = rows.join(sources.join(last.withColumnRenamed("_source", "_of"), F.col("_source").eqNullSafe(F.col("_of")), "left"), of_source)
+    repeats = F.col("_whole") + (F.col("_extra") | F.coalesce(F.col("row") == F.col("_last"), F.lit(False))).cast("long")
+    return out.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"), "row")
 
 
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +115,13 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with ``repeats``: how many times each."""
-    taken = mix(docs).where("repeats > 0").groupBy(F.col("doc_id").alias("_taken")).agg(F.max("repeats").alias("repeats"))
-    docs = docs.drop("repeats")
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["_taken"])).drop("_taken")
+    """The documents that the mix takes, all columns as they were, and ``repeats``: how many times each (a column of that name is replaced).
+
+    ``docs`` must be a stored table, whose rows come in the same places when it is read again. Null and empty texts have no words and are
+    never taken. Rows are decided one by one, also where they share an id or have none. An empty table stays empty. Names of other
+    columns do not matter.
+    """
+    taken = placed_mix(docs).where("repeats > 0").select(F.col("row").alias("_taken"), F.col("repeats").alias("_repeats"))
+    kept = [F.col(f"carried.`{c}`") for c in docs.columns if c.lower() != "repeats"]
+    rows = docs.select(F.struct("*").alias("carried"), F.monotonically_increasing_id().alias("_row"))
+    return rows.join(taken, F.col("_row") == F.col("_taken")).select(*kept, F.col("_repeats").alias("repeats"))
