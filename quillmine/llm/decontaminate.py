@@ -345,6 +345,10 @@ FROM words d LEFT JOIN hit h ON h.doc_id = d.id LEFT JOIN items t ON t.doc_id =
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated."""
+    """Documents that are not contaminated, all columns as they were.
+
+    Null and empty texts are not. Rows are judged one by one, repeated ones alike. An empty table stays empty, and a benchmark without
+    words keeps all. Names of columns do not matter: only ``doc_id`` and ``text`` are read.
+    """
     out = contamination(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns)
     return out.where(~F.col("contaminated")).select("carried.*")

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from .common import pieces, saved, table, texts
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 class Node:
     __slots__ = ("edge", "kids", "count", "owner")
 
@@ -185,6 +188,13 @@ FROM d
 
 
 def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose row stays (the largest id of equal texts)."""
-    stay = exact_dedup(docs, keep="max").where("kept").select(F.col("doc_id").alias("_stay"))
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
+    """Documents whose row stays (the largest id of equal texts), all columns as they were.
+
+    Null and empty texts are equal. Rows that repeat an id and its text stay together; a row without id stays only where no equal text has
+    one. An empty table stays empty. Names of columns do not matter: only ``doc_id`` and ``text`` are read.
+    """
+    stay = exact_dedup(docs, keep="max").where("kept").select(F.col("doc_id").alias("_stay"), "text_sha256")
+    key = F.sha2(F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, UPPER.lower()).cast("binary"), 256)
+    rows = docs.select(F.struct("*").alias("carried"), F.col("doc_id").cast("long").alias("_id"), key.alias("_sha"))
+    stay = stay.withColumnRenamed("text_sha256", "_digest").distinct()
+    return rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay")) & (F.col("_sha") == F.col("_digest")), "left_semi").select("carried.*")

@@ -95,8 +95,8 @@ def _features(k: int):
             flat = pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64))
             ends = np.cumsum([0] + [BANDS if n else 0 for n in sizes]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                names=["doc_id", "n_shingles", "key", "bands"],
+                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)],
+                names=["doc_id", "version", "n_shingles", "key", "bands"],
             )
 
     return run
@@ -175,18 +175,18 @@ def _linked(k: int, num: int, den: int):
 def near_dedup(
     docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, wide_block: int = WIDE_BLOCK
 ) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, n_shingles, component_id, kept, version (a hash of the text).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a set holds the distinct shingles of ``k`` words, of the whole sequence
     where there are fewer words. Documents are linked if den * intersection >= num * union for ``threshold`` (num, den); component_id is
     the smallest id reachable; kept where it is the own id. Null and empty texts have no shingles and no links. Rows that repeat
     an id are one document (equal texts are expected of them) and are all returned. A row without id belongs to the
-    component of its set, or to none (null, kept) if no id has it. An empty table gives no rows; other columns are not read. Sets
-    are compared as 64-bit hashes of shingles.
+    component of its set, or to none (null, kept) if no id has it. A very long text is one set as any other. An empty table gives no rows;
+    other columns are not read. Sets are compared as 64-bit hashes of shingles.
     """
     num, den = threshold
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    features = saved(rows.mapInArrow(_features(k), "doc_id long, n_shingles long, key binary, bands array<long>"))
+    features = saved(rows.select("doc_id", F.xxhash64("text").alias("version"), "text").mapInArrow(_features(k), "doc_id long, version long, n_shingles long, key binary, bands array<long>"))
     classes = features.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = saved(classes)
     members = classes.select("node", F.explode("bands").alias("band"))
@@ -237,16 +237,21 @@ def near_dedup(
             labels = every.join(joined.select(F.col("node").alias("label"), "comp").hint("merge"), "label", "left").select("node", F.coalesce("comp", "label").alias("comp"))
 
     found = classes.select("key", "node").join(labels.hint("merge"), "node", "left").select("key", F.coalesce("comp", "node").alias("component"))
-    out = features.select("doc_id", "n_shingles", "key").join(found.hint("merge"), "key", "left")
+    out = features.select("doc_id", "version", "n_shingles", "key").join(found.hint("merge"), "key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "version")
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), k=4)
+    return near_dedup(table(spark, sf_dir, "documents"), k=4).drop("version")
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each component (shingles of five words, similarity 0.8)."""
-    stay = near_dedup(docs).where("kept").select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
+    """One document, the smallest id, of each component (shingles of five words, similarity 0.8), all columns as they were.
+
+    Texts without words have no likeness and stay. Rows that repeat an id and its text stay or go together; a row without id goes only where
+    a document with an id has the same shingles. An empty table stays empty. Names of columns do not matter: only ``doc_id`` and ``text`` are read.
+    """
+    stay = near_dedup(docs).where("kept").select(F.col("doc_id").alias("_stay"), F.col("version").alias("_kept")).distinct()
+    rows = docs.select(F.struct("*").alias("carried"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_version"))
+    return rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay")) & (F.col("_version") == F.col("_kept")), "left_semi").select("carried.*")

@@ -119,3 +119,79 @@ def lm_scores(texts, target, weights, types):
                 loss[m] -= math.log(p)
         out[i] = (len(x), loss[1] / max(len(x), 1), loss[0] / max(len(x), 1))
     return out
+
+
+def templates(text, listed):
+    """Labels of the templates that match somewhere: a backtracking matcher over the parsed markup."""
+    w, found = words(text), set()
+
+    def parsed(t):
+        out, stack = [], []
+        for mark in re.findall(r"<<[^>]*>>|[^\s<>]+", t):
+            if mark == "<<beginOptional>>":
+                stack.append(out)
+                out = []
+            elif mark == "<<endOptional>>":
+                inner, out = out, stack.pop()
+                out.append(("opt", inner))
+            elif mark.startswith("<<var"):
+                out.append(("var", int(mark[10:-2])))
+            else:
+                out.append(("word", mark))
+        return out
+
+    def ends(items, at):
+        """All places at which the items can end."""
+        places = {at}
+        for kind, x in items:
+            if kind == "word":
+                places = {p + 1 for p in places if p < len(w) and w[p] == x}
+            elif kind == "var":
+                places = {q for p in places for q in range(p, min(p + x, len(w)) + 1)}
+            else:
+                places |= {q for p in places for q in ends(x, p)}
+        return places
+
+    for t, label in listed:
+        items = parsed(t)
+        if any(ends(items, at) for at in range(len(w))):
+            found.add(label)
+    return found
+
+
+def entropy_spans(text, classes, allowed):
+    """(start, end, kind) of the entropy method, before base spans are looked at: every window's entropy from its own counts."""
+    import math
+
+    out = []
+    for c in classes:
+        for m in re.finditer(c.pattern, text):
+            left, at = [], 0
+            for x in re.finditer("|".join(allowed), m[0], re.I):
+                left.append((at, m[0][at : x.start()]))
+                at = x.end()
+            for start, part in [*left, (at, m[0][at:])]:
+                high = []
+                for i in range(len(part) - c.window + 1):
+                    w = part[i : i + c.window]
+                    n = [w.count(ch) / c.window for ch in set(w)]
+                    if -sum(p * math.log2(p) for p in n) >= c.entropy - 1e-9:
+                        high.append(i)
+                if high:
+                    out.append((m.start() + start + high[0], m.start() + start + high[-1] + c.window, c.kind))
+    return out
+
+
+def taken(docs, target, most_whole, order):
+    """id -> repeats for one source: docs (id, size), the seeded order, whole repetitions and the words that are missing then."""
+    gap, extra = target, set()
+    while fits := [i for i in order if i not in extra and 0 < docs[i] <= gap]:
+        for i in fits:  # a pass takes what fits now, up to the first that would go over
+            if docs[i] > gap:
+                break
+            extra.add(i)
+            gap -= docs[i]
+    near = [i for i in order if i not in extra and abs(docs[i] - gap) < gap]
+    if near:
+        extra.add(min(near, key=lambda i: (abs(docs[i] - gap), order.index(i))))
+    return {i: most_whole + (i in extra) for i in docs}

@@ -243,6 +243,65 @@ def test_quality(spark, docs, empty, labels):
     assert np.mean([r["predicted"] == i % 2 for i, r in got.items()]) > 0.98
 
 
+def test_quality_learns_from_one_document_of_each_label(spark):
+    """No switch at small samples: with one text of a label it serves dictionary and calibration; with none, the shares decide."""
+    ids = [i for i in range(1, 30) if __import__("zlib").crc32(str(i).encode()) % 4 != 2]
+    good, bad = "the quick brown fox jumps over the lazy dog " * 30, "@@@ ### $$$ !!! " * 60
+    docs = spark.createDataFrame([(ids[0], good), (ids[1], bad), (ids[2], good[5:]), (ids[3], bad[3:]), (ids[4], "")], "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(ids[0], 1), (ids[1], 0)], "doc_id long, quality int"))
+    got = by_id(quality.score_quality(docs, model))
+    assert got[ids[0]]["score"] > 0.5 > got[ids[1]]["score"] and got[ids[2]]["score"] > 0.5 > got[ids[3]]["score"]
+    one = quality.fit(docs, spark.createDataFrame([(ids[0], 1), (ids[4], 0), (ids[4], None), (None, 0)], "doc_id long, quality int"))
+    assert len({r["score"] for r in quality.score_quality(docs, one).collect()}) == 1
+
+
+STAGES = ["quality", "exact_dedup", "near_dedup", "decontaminate", "mixture"]
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stages_on_odd_tables(spark, tmp_path, name):
+    """Columns with names of results and of intermediate steps, nulls in any of them, repeated rows, and an empty table."""
+    import corpus_pipeline
+
+    clean = "clean prose about rivers and harbors that nobody else has written down in quite this way number "
+    rows = [(1, clean + "one", None, 7, "x", 9), (2, None, "a", None, None, None), (3, "", "a", 7, "y", 9), (4, clean + "four " + LONG, "b", 7, "y", 9), (4, clean + "four " + LONG, "b", 7, "y", 9), (None, "a row without id " + clean, "b", 7, "y", 9), (None, "another row without id", None, 7, "y", 9)]
+    columns = "doc_id long, text string, source string, repeats int, `_row` string, taken int"
+    extra = {c: F.lit(1) for c in ("score", "kept", "node", "key", "carried", "_id", "_stay", "_taken", "_text", "version", "comp", "contaminated", "n_hit", "predicted")}
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    for n, some in (("all", rows), ("none", [])):
+        spark.createDataFrame(some, columns).withColumns(extra).write.parquet(f"{tmp_path}/{n}")
+        docs = spark.read.parquet(f"{tmp_path}/{n}")
+        out = stage(spark, docs, str(tmp_path))
+        last = [c for c in docs.columns if c != "repeats"] + ["repeats"]
+        assert out.columns == (last if name == "mixture" else docs.columns)
+        got = out.collect()
+        assert len(got) <= len(some) and (name in ("quality", "mixture") or not some or len(got) >= 5)
+        if name == "mixture" and some:
+            assert all(1 <= r["repeats"] <= 3 and r["text"] for r in got) and all(r["_taken"] == 1 and r["kept"] == 1 for r in got)
+        if name == "exact_dedup" and some:
+            assert sorted((r["doc_id"] or 0) for r in got) == [0, 0, 1, 3, 4, 4]
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_mixture_passes_over_what_does_not_fit(spark):
+    """A very long document in the way leaves no gap that shorter ones can fill."""
+    rows = [(i, "w " * 500, "a") for i in range(400)] + [(1000 + i, "w " * 20_000, "a") for i in range(2)] + [(2000 + i, "w " * 77, "b") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in range(3):
+        got = mixture.mix(docs, weights=[1, 1], most=3, seed=seed).groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("target")).collect()
+        assert all(abs(r["t"] - r["target"]) <= 250 for r in got)
+
+
 def test_licenses(docs, empty):
     got = by_id(licenses.scan_licenses(docs, carry=["source"]))
     assert got[1]["n_words"] == 0 and got[3]["n_words"] == 30_000 and not got[5]["matches"] and licenses.scan_licenses(empty).count() == 0
@@ -260,6 +319,47 @@ def test_licenses(docs, empty):
         licenses.compiled(templates=[("<<beginOptional>> x", "y")])
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE
+LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = "\n3. Neither the name of the University of X nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+
+
+def test_licence_texts():
+    automata = licenses.compiled()
+
+    def labels(text):
+        return {t.label for _, _, t in licenses.scan(text.encode(), automata)[1]}
+
+    assert {"mit", "mit-text"} <= labels(f"Copyright 2020 Someone\n\n{MIT}\nmore") and "mit-text" in labels(MIT.replace("THE\nAUTHORS OR COPYRIGHT HOLDERS", "X CONSORTIUM"))
+    assert "mit-text" not in labels(MIT.replace("sublicense, ", "")) and "mit-text" not in labels(MIT.replace("NONINFRINGEMENT", "INFRINGEMENT"))
+    assert "bsd-2-clause-text" in labels(BSD % "") and "bsd-3-clause-text" not in labels(BSD % "")
+    assert "bsd-3-clause-text" in labels(BSD % THIRD) and "bsd-2-clause-text" not in labels(BSD % THIRD)
+
+
 def test_mixture(docs, empty):
     rows = mixture.mix(docs).collect()
     assert len(rows) == len(ROWS) and mixture.mix(empty).count() == 0
@@ -282,6 +382,37 @@ def test_secrets(spark, docs, empty):
     assert (w["first"], w["last"]) == (high[0], high[-1])
 
 
+def test_secrets_beside_what_the_allow_list_takes_out(spark):
+    """Long candidates are judged by what is left on either side of padding and of allowed words."""
+    body = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQAAACBk7Vq9x2LrT8yFzW1hQmNc5uJ0dGoKpB3sXeYiR4"
+    texts = [(1, body), (2, "path/example/Zm9vYmFyYmF6cXV4MTIzNDU2Nzg5"), (3, "123e4567-e89b-42d3-a456-426614174000"), (4, "x" * 50_000 + " " + body), (5, "")]
+    got = by_id(secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert got[1]["added"] and got[2]["added"] and not got[3]["added"] and not got[5]["added"]
+    assert all(x["start"] >= len("path/example") for x in got[2]["added"])
+    assert [(x["start"], x["end"]) for x in got[4]["added"]] == [(x["start"] + 50_001, x["end"] + 50_001) for x in got[1]["added"]]
+
+
+def test_secrets_time_follows_the_number_of_matches(spark):
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "token=abcdef12 " * n)], "doc_id long, text string")
+        secrets.find_secrets(docs).collect()
+        began = time.perf_counter()
+        found = secrets.find_secrets(docs).select(F.size("base"), F.col("base")[n - 1]["start"]).first()
+        assert tuple(found) == (n, 15 * (n - 1))
+        return time.perf_counter() - began
+
+    assert seconds(16_000) < 8 * seconds(4000) + 1
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 63, 64, 65, 1000):
+        values = list(range(n))
+        got = spark.createDataFrame([(values,)], "v array<int>").select(secrets.running(F.col("v"))).first()[0]
+        assert got == np.cumsum(values).tolist()
+
+
 def entropy(s):
     n = np.array([s.count(c) for c in set(s)]) / len(s)
     return float(-(n * np.log2(n)).sum())
@@ -297,6 +428,13 @@ def test_urls(spark):
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string"), w).count() == 0
 
 
+def test_long_urls_and_carried_columns(spark):
+    w = urls.fit(spark)
+    pages = spark.createDataFrame([(1, "https://a.org/" + "x" * 100_000 + "?q", "s", None), (2, "https://casino.example.biz/free", None, 4)], "page_id long, url string, host string, verdict int")
+    got = {r["page_id"]: r for r in urls.filter_urls(pages, w, carry=["host", "verdict"]).collect()}
+    assert len(got[1]["path"]) == 100_001 and got[1]["carried"]["host"] == "s" and got[2]["verdict"] == "block" and got[2]["carried"]["verdict"] == 4
+
+
 def test_pieces_bound_bytes_not_rows():
     import pyarrow as pa
 
