@@ -249,12 +249,13 @@ def score_documents(
     kept = [f for f in rows.schema.fields if f.name.startswith("_c")]
     ids = targets.select(F.col(targets.columns[0]).cast("long").alias("id")).where("id is not null").distinct()
     rows = rows.unionByName(ids.select(piece_of(F.col("id")), F.lit(False).alias("is_doc"), "id"), allowMissingColumns=True)
-    rows = rows.repartition("piece").sortWithinPartitions("piece", "is_doc", "id", "_version").drop("_version")
+    # Numbers of pieces and ranges deal them out evenly, where hashes of them would put several into one task and none into another.
+    rows = rows.repartitionById(least, F.col("piece").cast("int")).sortWithinPartitions("piece", "is_doc", "id", "_version").drop("_version")
 
     form, most = "piece long, at long, body binary", 2 * piece_bytes
     asked = rows.mapInArrow(_asked(pieces, most, ranges), form)
-    answered = asked.repartition("at").sortWithinPartitions("at", "piece").mapInArrow(_answered, form)
-    both = answered.unionByName(rows.mapInArrow(_kept(pieces, most), form)).repartition("piece").sortWithinPartitions("piece", "at")
+    answered = asked.repartitionById(least, F.col("at").cast("int")).sortWithinPartitions("at", "piece").mapInArrow(_answered, form)
+    both = answered.unionByName(rows.mapInArrow(_kept(pieces, most), form)).repartitionById(least, F.col("piece").cast("int")).sortWithinPartitions("piece", "at")
     made = T.StructType.fromDDL("_n long, _t double, _b double, _s double").fields
     schema = T.StructType(kept + made)
     out = both.mapInArrow(_scored(pa.schema([(f.name, pa.null()) for f in schema.fields]), weights), schema)
