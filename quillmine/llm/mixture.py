@@ -16,6 +16,7 @@ from pyspark.sql.window import Window as W
 from .common import saved, table
 
 WEIGHTS = [1, 2, 3]
+MOST_SENT = 100_000  # sources whose small tables are broadcast; those of more are joined by merging
 
 
 def ranked(sources: DataFrame) -> DataFrame:
@@ -75,7 +76,13 @@ def placed_mix(docs: DataFrame, weights: list[float] = WEIGHTS, most: int = 3, s
         )
     )
     sources = ranked(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")))
-    n = buckets(sources.agg(F.max("_rows")).first()[0] or 0)
+    most_rows, n_sources = sources.agg(F.max("_rows"), F.count("*")).first()
+    n = buckets(most_rows or 0)
+
+    def small(found: DataFrame) -> DataFrame:
+        """A table with a row per source at most: broadcast if the sources are known to be few."""
+        return F.broadcast(found) if n_sources <= MOST_SENT else found.hint("merge")
+
     weight = F.get(F.array(*(F.lit(float(w)) for w in weights)), (F.col("rank") % len(weights)).cast("int"))
     sources = water_fill(sources.withColumn("weight", weight), most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -84,10 +91,11 @@ def placed_mix(docs: DataFrame, weights: list[float] = WEIGHTS, most: int = 3, s
 
     of_source = F.col("source").eqNullSafe(F.col("_source"))
     rows = sizes.withColumns({"_bucket": F.shiftrightunsigned("_hash", 64 - (n.bit_length() - 1)).cast("int"), "_extra": F.lit(False)})
-    gaps = sources.select("_source", F.col("_need").alias("_gap"))
     fits = ~F.col("_extra") & (F.col("size") > 0) & (F.col("size") <= F.col("_gap"))
     while True:
-        open_ = rows.join(gaps, of_source)
+        got = rows.where("_extra").groupBy("source").agg(F.sum("size").alias("_got"))
+        gaps = sources.join(small(got), of_source, "left").select("_source", (F.col("_need") - F.coalesce("_got", F.lit(0))).alias("_gap"))
+        open_ = rows.join(small(gaps), of_source)
         levels = open_.where(fits).groupBy("_source", "_gap", "_bucket").agg(F.sum("size").alias("_words"))
         levels = levels.withColumn("_to", F.sum("_words").over(W.partitionBy("_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)))
         # The range in which the gap is reached; without one, all that fits is taken.
@@ -95,17 +103,17 @@ def placed_mix(docs: DataFrame, weights: list[float] = WEIGHTS, most: int = 3, s
         cuts = saved(levels.groupBy("_source", "_gap").agg(F.min(over).alias("_at")).select("_source", "_gap", F.coalesce("_at._bucket", F.lit(n)).alias("_cut"), F.coalesce(F.col("_gap") - F.col("_at._before"), F.lit(0.0)).alias("_rest")))
         if cuts.isEmpty():
             break
-        rows = rows.join(cuts, of_source, "left")
+        rows = rows.join(small(cuts), of_source, "left")
         at_cut = F.coalesce(fits & (F.col("_bucket") == F.col("_cut")), F.lit(False))
         up_to = F.sum("size").over(W.partitionBy("source").orderBy("_hash", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, W.currentRow))
         cut = rows.where(at_cut).withColumn("_extra", up_to <= F.col("_rest"))
         rest = rows.where(~at_cut).withColumn("_extra", F.col("_extra") | F.coalesce(fits & (F.col("_bucket") < F.col("_cut")), F.lit(False)))
         rows = saved(rest.unionByName(cut).select(*sizes.columns, "_bucket", "_extra"))
-        got = rows.where("_extra").groupBy("source").agg(F.sum("size").alias("_got"))
-        gaps = saved(sources.join(got, of_source, "left").select("_source", (F.col("_need") - F.coalesce("_got", F.lit(0))).alias("_gap")))
+    gaps = saved(gaps)
     off = F.abs(F.col("size") - F.col("_gap"))
-    last = rows.where(~F.col("_extra")).join(gaps, of_source).where(off < F.col("_gap")).groupBy("_source").agg(F.min_by("row", F.struct(off.alias("off"), "_hash", "doc_id", "row")).alias("_last"))
-    out = rows.join(sources.join(last.withColumnRenamed("_source", "_of"), F.col("_source").eqNullSafe(F.col("_of")), "left"), of_source)
+    last = rows.where(~F.col("_extra")).join(small(gaps), of_source).where(off < F.col("_gap")).groupBy("_source").agg(F.min_by("row", F.struct(off.alias("off"), "_hash", "doc_id", "row")).alias("_last"))
+    last = saved(sources.join(small(last.withColumnRenamed("_source", "_of")), F.col("_source").eqNullSafe(F.col("_of")), "left"))
+    out = rows.join(small(last), of_source)
     repeats = F.col("_whole") + (F.col("_extra") | F.coalesce(F.col("row") == F.col("_last"), F.lit(False))).cast("long")
     return out.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"), "row")
 
