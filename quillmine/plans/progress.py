@@ -20,15 +20,16 @@ class Progress:
     """Writes run_state.json: status, current stage, counts of rows, times; an error if there was one."""
 
     def __init__(self, stages: Stages, **facts):
-        self.stages, self.facts, self.counts = stages, facts, {}
+        self.stages, self.facts, self.counts, self.call_state = stages, facts, {}, {}
         self.started: str | None = None
 
     def write(self, status: str, **more) -> None:
-        state = self.facts | {"status": status, "started_at": self.started, "updated_at": now(), "counts": self.counts} | more
+        state = self.facts | {"status": status, "started_at": self.started, "updated_at": now(), "counts": self.counts, "calls": self.call_state} | more
         self.stages.write_text(f"{self.stages.root}/run_state.json", json.dumps(state, ensure_ascii=False, indent=2))
 
     def begin(self, entry: str) -> None:
         self.facts, self.started, self.counts = self.facts | {"entry": entry}, now(), {}
+        self.call_state = {}
         self.write("running")
 
     def done(self, stage: str, rows: int) -> None:
@@ -38,6 +39,14 @@ class Progress:
         if self.started:
             self.write("running", current_stage=stage)
 
+    def calls(self, stage: str, done: int, of: int, mode: str | None = None) -> None:
+        """``mode`` says at the beginning whether answers are generated, resumed or all reused; then writes done, of how many."""
+        state = self.call_state.setdefault(stage, {})
+        state |= {"mode": mode, "asked": state.get("asked", 0) + of} if mode else {"writes": f"{done}/{of}"}
+        log.info("%s: %s", stage, f"{mode}, {of} calls to make" if mode else f"{done} of {of} writes of answers")
+        if self.started:
+            self.write("running", current_stage=stage)
+
     def end(self, error: Exception | None = None) -> None:
         if error is None:
             self.write("completed", finished_at=now())

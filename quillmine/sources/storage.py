@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; one of our own only where the session has none."""
+    """The folder of spark.checkpoint.dir, which all executors share. Where it is unset, a local session gets one of its own; others must set it."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillmine-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not context.master.startswith("local") or context.master.startswith("local-cluster") and not path:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(path or tempfile.mkdtemp(prefix="quillmine-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -25,11 +28,22 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again."""
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared folder and read again, and its folder, for ``removed``."""
     path = f"{shared_dir(df.sparkSession)}/quillmine-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again."""
+    return written(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes what ``written`` has written, once nothing reads it any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read_papers(spark: SparkSession, path: str) -> DataFrame:
@@ -121,6 +135,12 @@ class Stages:
         rows.write.mode("append").parquet(self.path(stage))
         return self.read(stage)
 
+    def so_far(self, stage: str, schema: T.StructType) -> DataFrame:
+        """The rows that appends have committed; none where there are none, whatever an interrupted write has left of the folder."""
+        if not self.exists(self.path(stage)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(stage))
+
     def clear(self, stage: str) -> None:
         for path in (self.path(stage), self._manifest(stage)):
             p, fs = self._file(path)

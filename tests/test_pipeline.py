@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillmine.plans.completers import MockCompleter
 from quillmine.plans.config import Config
@@ -63,6 +64,68 @@ def test_resume_asks_nothing_again(spark, papers, tmp_path):
         Run(spark, str(tmp_path / "none")).from_merge()
 
 
+def test_a_run_that_was_cut_short_keeps_its_answers(spark, papers, tmp_path):
+    """The third write of answers fails; the next run asks only for what is missing, and ends."""
+
+    class Failing(MockCompleter):
+        asked, fail_at = [], 3
+
+        def generate(self, calls):
+            Failing.asked.append(calls.count())
+            if len(Failing.asked) == Failing.fail_at:
+                calls = calls.withColumn("prompt", F.raise_error(F.lit("cut short")).cast("string"))
+            return super().generate(calls)
+
+    root, config = str(tmp_path / "run"), Config(calls_per_write=5, heartbeat_chunk_interval=1)
+    with pytest.raises(Exception, match="cut short"):
+        Run(spark, root, config, answers=Failing()).all(papers)
+    state = json.loads((tmp_path / "run" / "run_state.json").read_text())
+    assert state["status"] == "failed" and state["calls"]["calls"]["mode"] == "generated" and state["calls"]["calls"]["writes"] == "2/4"
+    kept = sum(Failing.asked[:2])
+    assert spark.read.parquet(f"{root}/calls").count() == kept > 0
+    Failing.asked, Failing.fail_at = [], 0
+    final = Run(spark, root, config, answers=Failing()).all(papers)
+    assert sum(Failing.asked) == 18 - kept and final.count() > 0
+    state = json.loads((tmp_path / "run" / "run_state.json").read_text())
+    assert state["status"] == "completed" and state["calls"]["calls"]["mode"] == "resumed"
+    Run(spark, root, config, answers=Failing()).from_merge()
+    state = json.loads((tmp_path / "run" / "run_state.json").read_text())
+    assert state["entry"] == "from-merge" and state["calls"]["judge_calls"]["mode"] == "reused"
+
+
+def test_an_aborted_first_write_leaves_nothing_in_the_way(spark, papers, tmp_path):
+    class Broken(MockCompleter):
+        def generate(self, calls):
+            return super().generate(calls.withColumn("prompt", F.raise_error(F.lit("at once")).cast("string")))
+
+    root = str(tmp_path / "run")
+    with pytest.raises(Exception, match="at once"):
+        Run(spark, root, answers=Broken()).all(papers)
+    assert Run(spark, root).all(papers).count() > 0
+
+
+def test_refused_requests_are_not_repeated():
+    from urllib.error import HTTPError
+
+    from quillmine.plans.completers import worth_another
+
+    refused = lambda code: HTTPError("http://x", code, "", {}, None)
+    assert not worth_another(refused(401)) and not worth_another(refused(400))
+    assert worth_another(refused(429)) and worth_another(refused(503)) and worth_another(TimeoutError())
+
+
+def test_template_lookup(tmp_path, monkeypatch):
+    from quillmine.plans.cli import template
+    from quillmine.plans.prompts import TEMPLATE
+
+    monkeypatch.chdir(tmp_path)
+    assert template(None) == TEMPLATE
+    (tmp_path / "prompts").mkdir()
+    for name in ("Prompt_A_b.md", "Prompt_A_a.md", "other.md"):
+        (tmp_path / "prompts" / name).write_text(name)
+    assert template(None) == "Prompt_A_a.md" and template("prompts/other.md") == "other.md"
+
+
 def test_partial_topic_ids(spark):
     rows = [("p", 1, "1", "2", "f", None, ("r1_g2_topic_0001",)), ("p", 2, "1", "2", "f", None, ("topic_0001",)), ("p", 3, None, "", "f", "", ("x",))]
     partial = spark.createDataFrame(rows, "paper_id string, position int, source_round string, source_group string, source_group_file string, original_topic_id string, topic struct<topic_id:string>")
@@ -72,6 +135,7 @@ def test_partial_topic_ids(spark):
 def test_config_clamps():
     c = Config(noise_min_chars=0, chunk_min_chars=-1, chunk_target_max_chars=1, chunk_hard_max_chars=0, retry_backoff_seconds=0)
     assert (c.noise_min_chars, c.chunk_min_chars, c.chunk_target_max_chars, c.chunk_hard_max_chars, c.retry_backoff_seconds) == (1, 1, 1, 1, 1)
+    assert c.raised["chunk_min_chars"] == (-1, 1) and "chunk_target_max_chars" not in c.raised and not Config().raised
 
 
 def test_fingerprint_is_of_order_not_partitions(spark, papers):
