@@ -13,6 +13,7 @@ from ..operators import merge as M
 from ..operators import scoring as S
 from ..operators import similarity as Y
 from .config import JUDGE_KEYS, Config
+from .prompts import TEMPLATE, candidate_prompt
 
 BATCH = 50
 THRESHOLD = 0.82
@@ -66,9 +67,7 @@ FROM vetoed
 
 
 def judge_pivot_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _part_scores(spark, sf_dir)
-    of = [F.max(F.when(F.col("judge_model") == k, F.col("overall"))).alias(f"overall_{k}") for k in JUDGE_KEYS]
-    return rows.groupBy("p_partkey").agg(*of, X.rounded(F.max("overall") - F.min("overall"), 2).alias("overall_spread"))
+    return S.judge_pivot(_part_scores(spark, sf_dir), ["p_partkey"])
 
 
 JUDGE_PIVOT_SPREAD = f"""
@@ -216,9 +215,7 @@ FROM (SELECT *, trim(regexp_replace(repeat(p_name || '  ', 12), '\s+', ' ', 'g')
 
 
 def tokenize_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "documents").select("doc_id", X.tokens(F.col("text")).alias("w"))
-    rows = rows.select("doc_id", F.size("w").alias("n_tokens"), F.explode("w").alias("token")).groupBy("doc_id", "n_tokens", "token").agg(F.count("*").alias("n"))
-    return rows.select("doc_id", "token", "n", F.round(F.col("n") / F.col("n_tokens"), 9).alias("tf"))
+    return Y.term_frequencies(_t(spark, sf_dir, "documents"), [], "doc_id", F.col("text")).withColumn("tf", F.round("tf", 9))
 
 
 _WORDS = r"regexp_extract_all(lower(text), '[A-Za-z0-9_]+|[\x{4e00}-\x{9fff}]')"
@@ -234,9 +231,7 @@ def _batches(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
 
 def idf_batch_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _batches(spark, sf_dir, F.col("text"))
-    n = rows.groupBy("batch").agg(F.count("*").alias("n_docs"))
-    df = rows.select("batch", F.explode(F.array_distinct(X.tokens(F.col("text")))).alias("token")).groupBy("batch", "token").agg(F.count("*").alias("df"))
-    return df.join(n, "batch").select("batch", "token", "df", F.round(F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1, 9).alias("idf"))
+    return Y.inverse_frequencies(Y.term_frequencies(rows, ["batch"], "doc_id", F.col("text")), rows, ["batch"]).withColumn("idf", F.round("idf", 9))
 
 
 def _tfidf_sql(text: str) -> str:
@@ -291,8 +286,7 @@ FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e)
 
 def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _batches(spark, sf_dir, F.col("text"))
-    pairs = Y.cosine_pairs(Y.weights(rows, ["batch"], "doc_id", F.col("text")), ["batch"], "doc_id", THRESHOLD)
-    return Y.components(rows.select("batch", "doc_id"), pairs, ["batch"], "doc_id").select("batch", "doc_id", "component")
+    return Y.components(rows.select("batch", "doc_id"), Y.linked_rows(rows, ["batch"], "doc_id", F.col("text"), THRESHOLD), ["batch"], "doc_id").select("batch", "doc_id", "component")
 
 
 _COMPONENTS_SQL = """
@@ -306,8 +300,8 @@ DUP_COMPONENTS = f"WITH RECURSIVE {_tfidf_sql('text')}, {_COMPONENTS_SQL} SELECT
 def dup_components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components over equal normalized texts of the whole table and cosine pairs of the batches."""
     rows = _batches(spark, sf_dir, F.col("text"))
-    pairs = Y.cosine_pairs(Y.weights(rows, ["batch"], "doc_id", F.col("text")), ["batch"], "doc_id", THRESHOLD).select("left", "right")
-    return Y.components(rows.select("doc_id"), pairs.unionByName(Y.equal_links(rows, "doc_id", X.topic_key(F.col("text")))), [], "doc_id").select("doc_id", "component")
+    links = Y.linked_rows(rows, ["batch"], "doc_id", F.col("text"), THRESHOLD).select("left", "right")
+    return Y.components(rows.select("doc_id"), links.unionByName(Y.equal_links(rows, "doc_id", X.topic_key(F.col("text")))), [], "doc_id").select("doc_id", "component")
 
 
 DUP_COMPONENTS_ALL = f"""
@@ -407,15 +401,23 @@ COMPLETED_KEYS = "SELECT user_id FROM events GROUP BY user_id HAVING count(DISTI
 
 
 def merge_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = M.batched(_t(spark, sf_dir, "orders"), 10, "o_orderkey", "o_custkey")
+    """Orders as candidates, four of a customer's as a cluster, statuses as chunks: items of clusters, in groups of three."""
+    o = _t(spark, sf_dir, "orders").withColumns({"paper_id": F.col("o_custkey").cast("string"), "candidate_id": F.col("o_orderkey").cast("string")})
+    candidates = o.select("paper_id", "candidate_id", F.col("o_orderstatus").alias("chunk_id"), F.col("o_orderpriority").alias("topic"), F.lit("because").alias("derivation_logic"), F.array(F.lit("a step")).alias("implementation_steps"))
+    chunks = o.select("paper_id", F.col("o_orderstatus").alias("chunk_id"), F.array("o_orderstatus").alias("section_path"), F.concat(F.lit("  status  "), "o_orderstatus").alias("chunk_text")).distinct()
+    grouped = M.batched(o, 4, "o_orderkey").withColumnRenamed("group_index", "cluster_index").groupBy("paper_id", "cluster_index")
     ids = F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string"))
-    out = rows.groupBy("o_custkey", "group_index").agg(F.count("*").alias("input_group_size"), F.array_join(ids, ",").alias("order_ids"))
-    return out.join(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey")
+    clusters = grouped.agg(ids.alias("candidate_ids"), F.count("*").alias("cluster_size")).withColumns({"cluster_id": X.ordinal_id("cluster", F.col("cluster_index"), 4), "representative_topic": F.col("candidate_ids")[0], "representative_logic": F.lit("")})
+    groups = M.merge_groups(M.cluster_items(clusters, candidates, chunks), 1, 3)
+    said = lambda c: F.concat_ws(":", c["candidate_id"], c["topic"], c["source_chunk_id"], c["source_chunk_text"])
+    items = F.transform("merge_items", lambda x: F.concat_ws("|", x["cluster_id"], x["cluster_size"].cast("string"), F.array_join(F.transform(x["source_chunks"], said), ",")))
+    return groups.select("paper_id", "group_index", "input_group_size", F.array_join(items, ";").alias("items"))
 
 
 MERGE_ITEMS = """
-SELECT o_custkey, group_index, count(*) AS input_group_size, string_agg(o_orderkey::varchar, ',' ORDER BY o_orderkey) AS order_ids, c_name
-FROM (SELECT *, ((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 10 + 1)::int AS group_index FROM orders) JOIN customer ON c_custkey = o_custkey GROUP BY ALL
+WITH o AS (SELECT *, o_custkey::varchar AS paper_id, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4 + 1 AS c FROM orders),
+clusters AS (SELECT paper_id, c, printf('cluster_%04d', c) || '|' || count(*) || '|' || string_agg(o_orderkey || ':' || o_orderpriority || ':' || o_orderstatus || ':status ' || o_orderstatus, ',' ORDER BY o_orderkey) AS item FROM o GROUP BY paper_id, c)
+SELECT paper_id, ((c - 1) // 3 + 1)::int AS group_index, count(*)::int AS input_group_size, string_agg(item, ';' ORDER BY c) AS items FROM clusters GROUP BY paper_id, (c - 1) // 3
 """
 
 
@@ -430,14 +432,190 @@ SELECT p_partkey, array_to_string(list_transform(range(1, least(p_partkey % 5 +
 """
 
 
+def _part_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quotes, steps = F.when(F.col("p_size") % 10 == 0, F.array().cast("array<string>")).otherwise(F.array("p_type")), F.when(F.col("p_size") % 11 == 0, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(*(F.lit(str(i)) for i in range(3))))
+    return _t(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("paper_id"), F.col("p_partkey").cast("string").alias("topic_id"), F.col("p_partkey").alias("topic_ordinal"), F.col("p_name").alias("title"), F.col("p_type").alias("merged_derivation_logic"),
+        steps.alias("implementation_steps"), quotes.alias("evidence_quotes"), F.array(F.col("p_size").cast("string")).alias("source_candidate_ids"), F.array(F.col("p_size").cast("string"), F.lit("c")).alias("source_chunk_ids"),
+    )
+
+
 def final_left_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max_by("o_orderstatus", "o_orderkey").alias("last_status"), F.count("*").alias("n"))
-    rows = _t(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return rows.select("c_custkey", "last_status", F.coalesce("n", F.lit(0)).cast("long").alias("n_orders"))
+    """Final topics of the parts; every ninth part lacks its last judge, and so a verdict."""
+    topics, keys = _part_topics(spark, sf_dir), ["paper_id", "topic_id"]
+    ordinal = F.array_position(F.array(*map(F.lit, JUDGE_KEYS)), F.col("judge_model")) - 1
+    scores = _part_scores(spark, sf_dir).where(~((F.col("p_partkey") % 9 == 0) & (F.col("judge_model") == JUDGE_KEYS[-1])))
+    scores = scores.withColumns({"topic_id": F.col("p_partkey").cast("string"), "judge_ordinal": ordinal, "comment": F.lit("c")}).join(topics.select(*keys), "topic_id")
+    facts = topics.select(*keys, F.size("evidence_quotes").alias("n_quotes"), F.size("implementation_steps").alias("n_steps"))
+    out = S.final_topics(topics, scores, S.aggregate_scores(scores, facts, keys))
+    judges = F.array_join(F.transform("judges", lambda j: F.concat_ws(":", j["judge_model"], F.format_string("%.2f", j["overall"]))), ",")
+    return out.select(*keys, "title", "status", F.col("aggregate_score.final_overall").alias("final_overall"), judges.alias("judges"))
+
+
+FINAL_LEFT_LAST_WINS = f"""
+WITH judged AS ({TOPIC_VOTE_STATUS.strip()}), {_PART_SCORES_SQL},
+said AS (SELECT p_partkey, string_agg(judge_model || ':' || printf('%.2f', overall), ',' ORDER BY CASE judge_model {" ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(JUDGE_KEYS))} END) AS judges FROM scores GROUP BY p_partkey)
+SELECT p_brand AS paper_id, p_partkey::varchar AS topic_id, p_name AS title, status, final_overall, judges FROM part JOIN judged USING (p_partkey) JOIN said USING (p_partkey) WHERE status <> 'rejected' AND p_partkey % 9 <> 0
+"""
+
+
+def _part_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers with two topics each, the second one without three steps; every seventh answer has none."""
+    answer = F.concat(
+        F.lit("Thoughts first.\n### Topic 1: "), "p_name", F.lit("\n- **Rationale**: because  "), "p_type", F.lit("\n- **Steps**:\n  1. First: measure "), F.col("p_size").cast("string"),
+        F.lit("\n  2. compare\n  - 3) report  \n\n## topic 2 - chunk_7 of "), "p_brand", F.lit("\nrationale: so\n1. only one\n"),
+    )
+    return _t(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("paper_id"), F.concat(F.lit("chunk_"), F.col("p_size") % 3).alias("chunk_id"), F.col("p_partkey").alias("chunk_index"), F.lit(1).alias("run_index"), F.lit(0.7).alias("temperature"),
+        F.array(F.lit("Results")).alias("section_path"), F.col("p_name").alias("chunk_text"), F.lit("medium").alias("priority"), F.when(F.col("p_partkey") % 7 == 0, F.lit("no topics here")).otherwise(answer).alias("raw_output"), "p_partkey",
+    )
+
+
+def candidate_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.parse_candidates(_part_calls(spark, sf_dir))
+    return rows.select("paper_id", "candidate_id", "chunk_id", "topic", "derivation_logic", F.array_join("implementation_steps", "|").alias("steps"), "source_type", "valid_flag", F.array_join("validation_notes", ",").alias("notes"))
+
+
+_CANDIDATES_SQL = """
+answered AS (SELECT * FROM part WHERE p_partkey % 7 <> 0),
+blocks AS (SELECT p_brand AS paper_id, p_partkey, 0 AS b, 'chunk_' || p_size % 3 AS chunk_id, p_name AS topic, 'because ' || p_type AS derivation_logic, 'measure ' || p_size || '|compare|report' AS steps, true AS valid_flag, '' AS notes FROM answered
+  UNION ALL SELECT p_brand, p_partkey, 1, 'chunk_' || p_size % 3, 'chunk_7 of ' || p_brand, 'so', 'only one', false, 'invalid_step_count,placeholder_topic_reference' FROM answered),
+candidates AS (SELECT *, printf('cand_%06d', row_number() OVER (PARTITION BY paper_id ORDER BY p_partkey, b)) AS candidate_id FROM blocks)
+"""
+CANDIDATE_PARSE = f"WITH {_CANDIDATES_SQL} SELECT paper_id, candidate_id, chunk_id, topic, derivation_logic, steps, 'medium_value_inference' AS source_type, valid_flag, notes FROM candidates"
+
+
+def candidate_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.dedupe_candidates(C.parse_candidates(_part_calls(spark, sf_dir))).select("paper_id", "candidate_id", "chunk_id", "normalized_topic")
+
+
+CANDIDATE_DEDUPE = f"""
+WITH {_CANDIDATES_SQL} SELECT paper_id, candidate_id, chunk_id, replace(topic, ' ', '') AS normalized_topic
+FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, chunk_id, topic, derivation_logic ORDER BY candidate_id) AS n FROM candidates WHERE valid_flag) WHERE n = 1
+"""
+
+
+def empty_parses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.parse_diagnostics(_part_calls(spark, sf_dir)).select("p_partkey", "block_count", "parsed_count", "empty_parse")
+
+
+EMPTY_PARSES = "SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 2 END AS block_count, CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 2 END AS parsed_count, p_partkey % 7 = 0 AS empty_parse FROM part"
+
+
+def known_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("paper_id"), F.col("o_orderstatus").alias("chunk_id"))
+    chunks = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("paper_id"), F.when(F.col("c_mktsegment") == "MACHINERY", "F").otherwise("O").alias("chunk_id"))
+    return C.known_chunks(rows, chunks)
+
+
+KNOWN_CHUNKS = """
+SELECT o_orderkey, o_custkey AS paper_id, o_orderstatus AS chunk_id FROM orders
+WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND o_orderstatus = CASE WHEN c_mktsegment = 'MACHINERY' THEN 'F' ELSE 'O' END)
+"""
+
+
+def merged_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge answers in fences, loosely shaped: two topics of one id, steps as JSON in a text, a title alone; contexts by candidate and by chunk."""
+    text = lambda c: F.col(c).cast("string")
+    context = lambda k, chunk: F.struct(F.lit(k).alias("candidate_id"), F.col("p_name").alias("topic"), F.lit("l").alias("derivation_logic"), F.array().cast("array<string>").alias("implementation_steps"), F.lit(chunk).alias("source_chunk_id"), F.array().cast("array<string>").alias("section_path"), F.lit("t").alias("source_chunk_text"))
+    item = F.struct(F.array(context("a", "x"), context("b", "y"), context("c", "y")).alias("source_chunks"))
+    raw = F.concat(
+        F.lit('Here:\n```json\n{"merged_topics": [{"topic_id": "t", "title": "'), "p_name", F.lit('", "implementation_steps": "[\\"one\\", \\" two \\"]", "source_candidate_ids": ["b", " b "], "source_chunk_ids": ["y"], "evidence_quotes": "'), "p_type",
+        F.lit('"}, {"topic_id": "t", "title": "again", "normalized_title": "n", "source_candidate_ids": ["a"]}, "only a title"]}\n```\ndone '), text("p_size"),
+    )
+    rows = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("paper_id"), F.lit(1).alias("round_index"), F.col("p_partkey").alias("group_index"), F.array(item).alias("merge_items"), raw.alias("raw_output"))
+    joined = lambda c: F.array_join(c, ",")
+    return M.parse_groups(rows).select(
+        "paper_id", "topic_id", "raw_topic_id", "title", "normalized_title", joined("implementation_steps").alias("steps"), joined("source_candidate_ids").alias("candidates"), joined("evidence_quotes").alias("quotes"), "merge_notes",
+        joined(F.transform("source_chunk_contexts", lambda c: F.concat_ws(":", c["candidate_id"], c["source_chunk_id"]))).alias("contexts"),
+    )
+
+
+MERGED_TOPICS = """
+SELECT p_brand AS paper_id, 'r1_g' || p_partkey || '_' || id AS topic_id, raw AS raw_topic_id, title, normalized_title, steps, candidates, quotes, merge_notes, contexts FROM (
+  SELECT p_brand, p_partkey, 't' AS id, 't' AS raw, p_name AS title, p_name AS normalized_title, 'one,two' AS steps, 'b' AS candidates, p_type AS quotes, '' AS merge_notes, 'b:y,c:y' AS contexts FROM part
+  UNION ALL SELECT p_brand, p_partkey, 't__2', 't', 'again', 'n', '', 'a', '', '', 'a:x' FROM part
+  UNION ALL SELECT p_brand, p_partkey, 'topic_0003', 'topic_0003', 'only a title', 'only a title', '', '', '', 'coerced_from_string_item', '' FROM part)
+"""
+
+
+def topic_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics without contexts as items of the next round: candidates zipped with chunks, as far as both go."""
+    many = F.transform(F.sequence(F.lit(1), (F.col("p_size") % 4 + 1).cast("int")), lambda i: F.concat(F.lit("k"), i.cast("string")))
+    none = F.array().cast(f"array<{M.CONTEXT}>")
+    rows = _part_topics(spark, sf_dir).join(_t(spark, sf_dir, "part").select(F.col("p_partkey").alias("topic_ordinal"), "p_size"), "topic_ordinal")
+    rows = rows.withColumns({"source_candidate_ids": many, "source_chunk_ids": F.when(F.col("p_size") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x"), F.lit("y"))), "source_chunk_contexts": none})
+    zipped = F.array_join(F.transform("item.source_chunks", lambda c: F.concat_ws(":", c["candidate_id"], c["source_chunk_id"], c["topic"])), ",")
+    return M.topic_items(rows, "topic_ordinal").select("paper_id", "ord", "item.cluster_id", F.col("item.cluster_size").alias("cluster_size"), zipped.alias("sources"))
+
+
+TOPIC_ITEMS = """
+SELECT p_brand AS paper_id, p_partkey AS ord, p_partkey::varchar AS cluster_id, (p_size % 4 + 1)::int AS cluster_size,
+  array_to_string(list_transform(range(1, CASE WHEN p_size % 3 = 0 THEN p_size % 4 + 1 ELSE least(p_size % 4 + 1, 2) END + 1), lambda i: 'k' || i || ':' || CASE WHEN p_size % 3 = 0 THEN 'chunk_unknown' WHEN i = 1 THEN 'x' ELSE 'y' END || ':' || p_name), ',') AS sources
+FROM part
+"""
+
+
+def judge_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = S.judge_grid(_part_topics(spark, sf_dir))
+    return rows.select("paper_id", "topic_id", "judge_ordinal", "judge_model", F.contains("prompt", F.concat(F.lit('"title":"'), "title", F.lit('"'))).alias("asks_for_title"))
+
+
+JUDGE_GRID = f"""
+SELECT p_brand AS paper_id, p_partkey::varchar AS topic_id, judge_ordinal, judge_model, true AS asks_for_title
+FROM part, (VALUES {", ".join(f"({i}, '{k}')" for i, k in enumerate(JUDGE_KEYS))}) j(judge_ordinal, judge_model)
+"""
+
+
+def cluster_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of a brand by name, each name one word: brands of more than 50 parts go in slices first, and then once whole."""
+    rows = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("paper_id"), F.col("p_partkey").alias("candidate_ordinal"), F.col("p_partkey").cast("string").alias("candidate_id"), F.replace("p_name", F.lit(" "), F.lit("")).alias("topic"), F.lit("").alias("derivation_logic"))
+    clusters, _ = Y.cluster_candidates(rows, THRESHOLD, BATCH)
+    return clusters.select("paper_id", "cluster_id", F.array_join("candidate_ids", ",").alias("members"), "cluster_size", "representative_topic")
+
+
+CLUSTER_ROUNDS = """
+SELECT paper_id, printf('cluster_%04d', row_number() OVER (PARTITION BY paper_id ORDER BY first)) AS cluster_id, members, cluster_size, representative_topic FROM (
+  SELECT p_brand AS paper_id, replace(p_name, ' ', '') AS representative_topic, min(p_partkey) AS first, string_agg(p_partkey::varchar, ',' ORDER BY p_partkey) AS members, count(*)::int AS cluster_size FROM part GROUP BY ALL)
+"""
+
+
+def unique_clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.array(F.concat(F.lit(" "), "p_name"), F.lit("  "), F.col("p_type"), F.concat(F.col("p_name"), F.lit("\n")), F.lower("p_type"))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(X.unique_texts(found), "|").alias("distinct_texts"), F.array_join(X.stripped_texts(found), "|").alias("texts"))
+
+
+UNIQUE_CLEAN_TEXTS = """
+SELECT p_partkey, p_name || '|' || p_type || CASE WHEN lower(p_type) <> p_type THEN '|' || lower(p_type) ELSE '' END AS distinct_texts, p_name || '|' || p_type || '|' || p_name || '|' || lower(p_type) AS texts FROM part
+"""
+
+
+def prompt_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.when(F.col("p_size") % 2 == 0, F.array("p_type", "p_brand")).otherwise(F.array().cast("array<string>"))
+    return _t(spark, sf_dir, "part").select("p_partkey", candidate_prompt(F.col("p_brand"), path, F.col("p_partkey").cast("string"), F.col("p_name")).alias("prompt"))
+
+
+PROMPT_RENDER = f"""
+SELECT p_partkey, replace(replace(replace(replace('{TEMPLATE}', '{{{{paper_id}}}}', p_brand), '{{{{section_path}}}}', CASE WHEN p_size % 2 = 0 THEN p_type || ' > ' || p_brand ELSE '(root)' END), '{{{{chunk_id}}}}', p_partkey::varchar), '{{{{review_chunk}}}}', p_name) AS prompt FROM part
+"""
+
+
+def entity_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pipeline import candidate_fingerprints, chunk_fingerprints, cluster_fingerprints
+
+    rows = _t(spark, sf_dir, "part").withColumns({"paper_id": F.col("p_brand"), "candidate_ordinal": F.col("p_partkey"), "chunk_index": F.col("p_partkey"), "cluster_index": F.col("p_partkey"), "chunk_id": F.col("p_name"), "candidate_id": F.col("p_partkey").cast("string")})
+    chunks = chunk_fingerprints(rows.select("paper_id", "chunk_index", "chunk_id", F.array("p_type", "p_name").alias("section_path"), F.col("p_size").alias("char_count"), F.col("p_name").alias("chunk_text")))
+    candidates = candidate_fingerprints(rows.select("paper_id", "candidate_ordinal", "candidate_id", "chunk_id", F.col("p_type").alias("normalized_topic"), F.lit("l").alias("derivation_logic"), F.array(F.lit("a"), F.lit("b")).alias("implementation_steps")))
+    clusters = cluster_fingerprints(rows.select("paper_id", "cluster_index", F.col("candidate_id").alias("cluster_id"), F.array("candidate_id", "p_type").alias("candidate_ids"), F.col("p_name").alias("representative_topic"), F.lit("l").alias("representative_logic")))
+    named = [t.withColumnRenamed("fingerprint", n) for t, n in ((chunks, "chunks"), (candidates, "candidates"), (clusters, "clusters"))]
+    return named[0].join(named[1], "paper_id").join(named[2], "paper_id")
 
 
-FINAL_LEFT_LAST_WINS = """
-SELECT c_custkey, last_status, coalesce(n, 0) AS n_orders FROM customer LEFT JOIN (SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS last_status, count(*) AS n FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey
+ENTITY_FINGERPRINTS = """
+SELECT p_brand AS paper_id, sha256(string_agg(p_name || '|' || p_type || ' > ' || p_name || '|' || p_size || '|' || p_name || chr(10), '' ORDER BY p_partkey)) AS chunks,
+  sha256(string_agg(p_partkey || '|' || p_name || '|' || p_type || '|l|a / b' || chr(10), '' ORDER BY p_partkey)) AS candidates,
+  sha256(string_agg(p_partkey || '|' || p_partkey || ',' || p_type || '|' || p_name || '|l' || chr(10), '' ORDER BY p_partkey)) AS clusters
+FROM part GROUP BY p_brand
 """
 
 
@@ -507,7 +685,8 @@ def mock_pipeline_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL = [
     topic_vote_status, judge_pivot_spread, first_per_key_dedupe, duplicate_count, noise_flags, noise_filter, priority_case, source_type_case, compress_text, text_scalars, tokenize_tf,
     idf_batch_local, tfidf_cosine_pairs, embedding_cosine_pairs, embedding_cosine_pairs_all, dup_components, dup_components_all, cluster_representatives, line_paragraphs, section_paths, sentence_split, greedy_chunks, run_grid,
-    missing_calls, completed_keys, merge_items, zip_short_side, final_left_last_wins, kv_score_parse, json_score_parse, stage_fingerprint, occurrence_suffix, mock_pipeline_e2e,
+    missing_calls, completed_keys, merge_items, zip_short_side, final_left_last_wins, kv_score_parse, json_score_parse, stage_fingerprint, occurrence_suffix,
+    candidate_parse, candidate_dedupe, empty_parses, known_chunks, merged_topics, topic_items, judge_grid, cluster_rounds, unique_clean_texts, prompt_render, entity_fingerprints, mock_pipeline_e2e,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
 #: Chunking cuts texts in a loop, and the end-to-end run asks a completer; tests hold both against Python.
