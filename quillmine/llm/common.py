@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.storage import saved, stored  # noqa: F401
+from ..sources.storage import removed, saved, stored, written  # noqa: F401
 
 #: Byte table: A-Z to lower case, every ASCII byte that is not a letter or digit to a space.
 #: Bytes of 0x80 and above (all parts of non-ASCII characters) stay, so words keep them.

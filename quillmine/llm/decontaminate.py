@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, appended, carried, pieces, saved, stored, table, texts
+from .common import alnum_words, appended, carried, pieces, removed, saved, stored, table, texts, written
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -253,13 +253,17 @@ def contamination(
     """
     out, text, keep = docs, text_col, carried(id_col, carry)
     items, n = numbered(benchmark, item_col, item_text_col, block_bytes)
+    before = None
     for k in range(n):
         block, last = sent(items, k), k + 1 == n
         more = {} if last else {"_text": F.col(f"`{text}`")}
         out = appended(out, text, keep | more, COLUMNS, _hits(block, window), also=["items", "hit_words"] if k else [])
         if not last:
-            out = stored(out, f"hits{k}")
+            out, path = written(out, f"hits{k}")
             block.unpersist(blocking=True)
+            if before:  # the pass that this one has read
+                removed(docs.sparkSession, before)
+            before = path
         text, keep = "_text", {c: F.col(c) for c in keep}
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))
 
