@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillmine.llm import decontaminate, exact_dedup, mixture, near_dedup, quality
-from quillmine.llm.common import stored, table
+from quillmine.llm.common import removed, table, written
 
 STAGES = [
     ("quality", quality.stage_quality),
@@ -24,7 +24,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages on ``documents``; each one's table is deleted as soon as the next one's is written, but for the last, which the result reads."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs, path = written(stage(spark, docs, sf_dir), name)
+        if before:
+            removed(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
