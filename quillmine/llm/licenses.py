@@ -23,7 +23,7 @@ BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("c
 _OPT, _END = " <<beginOptional>> ", " <<endOptional>> "
 _VERSION = _OPT + "version" + _END + _OPT + "v" + _END
 _WARRANTY = """without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a
- particular purpose and noninfringement in no event shall the <<var;max=6>> be liable for any claim damages or other liability whether in
+ particular purpose and noninfringement in no event shall <<var;max=8>> be liable for any claim damages or other liability whether in
  an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"""
 _BSD_CONDITIONS = """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are
  met <<var;max=1>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var;max=1>>
