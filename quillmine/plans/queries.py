@@ -286,7 +286,8 @@ FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e)
 
 def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _batches(spark, sf_dir, F.col("text"))
-    return Y.components(rows.select("batch", "doc_id"), Y.linked_rows(rows, ["batch"], "doc_id", F.col("text"), THRESHOLD), ["batch"], "doc_id").select("batch", "doc_id", "component")
+    near = Y.batch_components(rows, ["batch"], "doc_id", F.col("text"), THRESHOLD)
+    return rows.select("batch", "doc_id").join(near, ["batch", "doc_id"], "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
 _COMPONENTS_SQL = """
