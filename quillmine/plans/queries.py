@@ -253,8 +253,7 @@ IDF_BATCH_LOCAL = f"WITH {_tfidf_sql('text')} SELECT batch, token, df, round(idf
 
 
 def tfidf_cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighted = Y.weights(_batches(spark, sf_dir, F.col("text")), ["batch"], "doc_id", F.col("text"))
-    return Y.cosine_pairs(weighted, ["batch"], "doc_id", THRESHOLD).select("batch", "left", "right", F.round("similarity", 6).alias("similarity"))
+    return Y.cosine_pairs(_batches(spark, sf_dir, F.col("text")), ["batch"], "doc_id", F.col("text"), THRESHOLD).select("batch", "left", "right", F.round("similarity", 6).alias("similarity"))
 
 
 TFIDF_COSINE_PAIRS = f'WITH {_tfidf_sql("text")} SELECT batch, "left", "right", round(similarity, 6) AS similarity FROM pairs'
@@ -286,8 +285,7 @@ FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e)
 
 def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _batches(spark, sf_dir, F.col("text"))
-    near = Y.batch_components(rows, ["batch"], "doc_id", F.col("text"), THRESHOLD)
-    return rows.select("batch", "doc_id").join(near, ["batch", "doc_id"], "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return Y.batch_components(rows, ["batch"], "doc_id", F.col("text"), THRESHOLD)
 
 
 _COMPONENTS_SQL = """
