@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, language_model, licenses, line_dedup, mixture, near_dedup, quality, secrets, urls
+from . import codes, decontaminate, exact_dedup, language_model, licenses, line_dedup, mixture, near_dedup, quality, secrets, urls
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_lm_score": language_model.op9_lm_score,
     "op10_secrets": secrets.op10_secrets,
+    "op11_vector_codes": codes.op11_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op3_line_dedup": line_dedup.OP3_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
+    "op11_vector_codes": codes.OP11_SQL,
 }
