@@ -91,5 +91,19 @@ def carried(id_col: str, carry: list[str] | None) -> dict[str, Column]:
     return {"doc_id": F.col(f"`{id_col}`")} | ({"carried": F.struct(*(F.col(f"`{c}`") for c in carry))} if carry else {})
 
 
+def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
+    """``df`` with the place of each row in ``order``, from 0: a range sort, then numbers within partitions plus offsets."""
+    within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = saved(df.sort(*order).withColumns({"_part": F.spark_partition_id(), "_at": within}))
+    starts, total = {}, 0
+    for part, n in sorted(placed.groupBy("_part").count().collect()):  # a row per partition
+        starts[part], total = total, total + n
+    if not starts:
+        return placed.withColumn(name, F.lit(0).cast("long")).drop("_part", "_at")
+    offsets = F.create_map(*(F.lit(x).cast("long") for pair in starts.items() for x in pair))
+    start = F.get(F.map_values(offsets), F.array_position(F.map_keys(offsets), F.col("_part").cast("long")).cast("int") - 1)
+    return placed.withColumn(name, start + F.col("_at")).drop("_part", "_at")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

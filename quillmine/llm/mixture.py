@@ -13,23 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import saved, table
+from .common import numbered, saved, table
 
 WEIGHTS = [1, 2, 3]
 MOST_SENT = 100_000  # sources whose small tables are broadcast; those of more are joined by merging
 
 
 def ranked(sources: DataFrame) -> DataFrame:
-    """``sources`` with ``rank`` from 0 by code point, null last: a range sort, then numbers within partitions plus offsets."""
-    within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    placed = saved(sources.sort(F.col("source").asc_nulls_last()).withColumns({"_part": F.spark_partition_id(), "_at": within}))
-    offsets, total = {}, 0
-    for part, n in sorted(placed.groupBy("_part").count().collect()):  # a row per partition
-        offsets[part], total = total, total + n
-    if not offsets:
-        return placed.withColumn("rank", F.lit(0).cast("long")).drop("_part", "_at")
-    starts = F.create_map(*(F.lit(x).cast("long") for pair in offsets.items() for x in pair))
-    return placed.withColumn("rank", F.get(F.map_values(starts), F.array_position(F.map_keys(starts), F.col("_part").cast("long")).cast("int") - 1) + F.col("_at")).drop("_part", "_at")
+    """``sources`` with ``rank`` from 0 by code point, null last."""
+    return numbered(sources, [F.col("source").asc_nulls_last()], "rank")
 
 
 def water_fill(sources: DataFrame, most: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import codes, decontaminate, exact_dedup, language_model, licenses, line_dedup, mixture, near_dedup, quality, secrets, urls
+from . import codes, decontaminate, exact_dedup, language_model, licenses, line_dedup, mixture, near_dedup, phrases, quality, repeats, secrets, urls
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_lm_score": language_model.op9_lm_score,
     "op10_secrets": secrets.op10_secrets,
     "op11_vector_codes": codes.op11_vector_codes,
+    "op12_phrases": phrases.op12_phrases,
+    "op13_substring_dedup": repeats.op13_substring_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +26,6 @@ ORACLE_SQL = {
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
     "op11_vector_codes": codes.OP11_SQL,
+    "op12_phrases": phrases.OP12_SQL,
+    "op13_substring_dedup": repeats.OP13_SQL,
 }
