@@ -5,6 +5,9 @@ from __future__ import annotations
 import datetime
 import json
 import logging
+import threading
+
+from pyspark.util import InheritableThread
 
 from ..sources.storage import Stages
 
@@ -16,6 +19,34 @@ def now() -> str:
     return datetime.datetime.now().isoformat(timespec="seconds")
 
 
+class Heartbeat:
+    """Reports, while a block runs, how far something has come: every ``interval`` steps, looked at once a ``pause``, and at the end."""
+
+    def __init__(self, look, report, interval: int = 1, pause: float = 1.0):
+        self.look, self.report, self.interval, self.pause = look, report, max(1, interval), pause
+        self.told, self.over = 0, threading.Event()
+        self.thread = InheritableThread(target=self._watch, daemon=True)
+
+    def _watch(self) -> None:
+        while not self.over.wait(self.pause):
+            self._tell(self.interval)
+
+    def _tell(self, least: int) -> None:
+        done = self.look()
+        if done - self.told >= least:
+            self.told = done
+            self.report(done)
+
+    def __enter__(self) -> Heartbeat:
+        self.thread.start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.over.set()
+        self.thread.join()
+        self._tell(1)
+
+
 class Progress:
     """Writes run_state.json: status, current stage, counts of rows, times; an error if there was one."""
 
@@ -40,10 +71,10 @@ class Progress:
             self.write("running", current_stage=stage)
 
     def calls(self, stage: str, done: int, of: int, mode: str | None = None) -> None:
-        """``mode`` says at the beginning whether answers are generated, resumed or all reused; then writes done, of how many."""
+        """``mode`` says at the beginning whether answers are generated, resumed or all reused; then answers kept, of how many."""
         state = self.call_state.setdefault(stage, {})
-        state |= {"mode": mode, "asked": state.get("asked", 0) + of} if mode else {"writes": f"{done}/{of}"}
-        log.info("%s: %s", stage, f"{mode}, {of} calls to make" if mode else f"{done} of {of} writes of answers")
+        state |= {"mode": mode, "asked": state.get("asked", 0) + of} if mode else {"answered": f"{done}/{of}"}
+        log.info("%s: %s", stage, f"{mode}, {of} calls to make" if mode else f"{done} of {of} answers")
         if self.started:
             self.write("running", current_stage=stage)
 

@@ -1,4 +1,4 @@
-"""Durable intermediate results, stage tables with manifests, papers, JSON artifacts."""
+"""Durable intermediate results, versioned stage tables, papers, JSON artifacts."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import json
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,78 +77,129 @@ def write_json(df: DataFrame, path: str, by: str = "paper_id") -> None:
 
 
 class Stages:
-    """Stage tables in a folder, each with a manifest of what it was made from.
+    """Stage tables in a folder. A version of a table is a folder of its own; one small pointer file says which version counts.
 
-    A table is taken as it is when its manifest is equal and says that it is complete. Manifests are small files that Spark's own
-    file system layer writes, so the folder can be in any store.
+    The pointer names the version, what it was made from, whether it is complete, and what was measured while it was written. It is
+    replaced in one step after the version's data are there, so a driver that is lost at any time leaves the old version or the new one,
+    never a mixture. The version before the current one stays for readers that have begun; older ones, and those that no pointer ever named,
+    are deleted by the next commit. All files go through Spark's own file system layer, so the folder can be in any store. One driver
+    at a time writes to a folder.
     """
 
     def __init__(self, spark: SparkSession, root: str, resume: bool = True):
         self.spark, self.root, self.resume = spark, root.rstrip("/"), resume
 
-    def path(self, stage: str) -> str:
-        return f"{self.root}/{stage}"
-
-    def _manifest(self, stage: str) -> str:
-        return f"{self.root}/_manifests/{stage}"
+    def _pointer(self, stage: str) -> str:
+        return f"{self.root}/_pointers/{stage}"
 
     def _file(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def exists(self, path: str) -> bool:
         p, fs = self._file(path)
         return fs.exists(p)
 
-    def manifest(self, stage: str) -> dict | None:
-        if not self.exists(self._manifest(stage)):
-            return None
-        return json.loads(self.spark.read.text(self._manifest(stage), wholetext=True).first()[0])
+    def names(self, path: str) -> list[str]:
+        """What is in a folder; nothing if it is not there."""
+        p, fs = self._file(path)
+        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
 
-    def write_manifest(self, stage: str, made_from: dict, complete: bool = True) -> None:
-        self.write_text(self._manifest(stage), json.dumps({"made_from": made_from, "complete": complete}, sort_keys=True))
+    def read_text(self, path: str) -> str | None:
+        p, fs = self._file(path)
+        if not fs.exists(p):
+            return None
+        opened = fs.open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+        finally:
+            opened.close()
 
     def write_text(self, path: str, text: str) -> None:
+        """Replaces a file in one step: by renaming, or by closing it where a store knows no renaming over a file."""
+        jvm = self.spark._jvm
         p, fs = self._file(path)
-        out = fs.create(p, True)
+        new = jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_new-{uuid.uuid4().hex}")
+        try:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(p).toUri(), self.spark._jsc.hadoopConfiguration())
+        except Exception as e:  # no such file system there
+            if "UnsupportedFileSystem" not in str(e):
+                raise
+            context, new = None, p
+        out = fs.create(new, True)
         out.write(bytearray(text.encode()))
         out.close()
+        if context is not None:
+            rename = jvm.org.apache.hadoop.fs.Options.Rename
+            how = self.spark.sparkContext._gateway.new_array(rename, 1)
+            how[0] = rename.OVERWRITE
+            context.rename(fs.makeQualified(new), fs.makeQualified(p), how)
+
+    def manifest(self, stage: str) -> dict | None:
+        """The pointer: version, made_from, complete, measured; None if the stage was never committed."""
+        said = self.read_text(self._pointer(stage))
+        return json.loads(said) if said else None
+
+    def path(self, stage: str) -> str:
+        """The folder of the version that counts."""
+        found = self.manifest(stage)
+        if found is None:
+            raise FileNotFoundError(f"{self.root}/{stage}")
+        return f"{self.root}/{stage}/{found['version']}"
 
     def usable(self, stage: str, made_from: dict) -> bool:
-        return self.resume and self.exists(self.path(stage)) and self.manifest(stage) == {"made_from": made_from, "complete": True}
+        found = self.manifest(stage) if self.resume else None
+        return found is not None and found["complete"] and found["made_from"] == json.loads(json.dumps(made_from))
 
     def read(self, stage: str) -> DataFrame:
-        if not self.exists(self.path(stage)):
-            raise FileNotFoundError(self.path(stage))
         return self.spark.read.parquet(self.path(stage))
 
-    def table(self, stage: str, made_from: dict, make, complete=None) -> DataFrame:
-        """The stage's table: as stored if usable, else made anew. ``complete``: a check of the written table."""
+    def measured(self, stage: str) -> dict:
+        return (self.manifest(stage) or {}).get("measured", {})
+
+    def write(self, stage: str, rows: DataFrame, measures: dict[str, Column] | None = None) -> tuple[str, dict]:
+        """(version, measured) of a new version that nothing points to yet; what is measured, and the number of rows, is observed while rows are written."""
+        version, seen = uuid.uuid4().hex, Observation()
+        columns = {"rows": F.count(F.lit(1)), **(measures or {})}
+        rows.observe(seen, *(c.alias(n) for n, c in columns.items())).write.parquet(f"{self.root}/{stage}/{version}")
+        return version, {n: int(v or 0) for n, v in seen.get.items()}
+
+    def commit(self, stage: str, version: str, made_from: dict, complete: bool, measured: dict) -> None:
+        before = (self.manifest(stage) or {}).get("version")
+        self.write_text(self._pointer(stage), json.dumps({"version": version, "made_from": made_from, "complete": complete, "measured": measured}, sort_keys=True))
+        for name in self.names(f"{self.root}/{stage}"):
+            if name not in (version, before):
+                self.delete(f"{self.root}/{stage}/{name}")
+
+    def table(self, stage: str, made_from: dict, make, complete=None, measures: dict[str, Column] | None = None) -> DataFrame:
+        """The stage's table: as committed if usable, else made anew. ``complete``: whether what was measured makes a whole table."""
         made_from = json.loads(json.dumps(made_from))
         if not self.usable(stage, made_from):
-            make().write.mode("overwrite").parquet(self.path(stage))
-            self.write_manifest(stage, made_from, complete(self.read(stage)) if complete else True)
-        return self.read(stage)
-
-    def append(self, stage: str, rows: DataFrame) -> DataFrame:
-        rows.write.mode("append").parquet(self.path(stage))
+            version, measured = self.write(stage, make(), measures)
+            self.commit(stage, version, made_from, complete(measured) if complete else True, measured)
         return self.read(stage)
 
-    def so_far(self, stage: str, schema: T.StructType) -> DataFrame:
-        """The rows that appends have committed; none where there are none, whatever an interrupted write has left of the folder."""
-        if not self.exists(self.path(stage)):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(stage))
+    def delete(self, path: str) -> None:
+        p, fs = self._file(path)
+        fs.delete(p, True)
 
     def clear(self, stage: str) -> None:
-        for path in (self.path(stage), self._manifest(stage)):
-            p, fs = self._file(path)
-            fs.delete(p, True)
+        self.delete(self._pointer(stage))
+        self.delete(f"{self.root}/{stage}")
+
+
+DIGEST = ("digest_a", "digest_b")
+
+
+def digest_measures(*columns: str | Column) -> dict[str, Column]:
+    """Two sums of hashes over rows, whatever their order."""
+    return {n: F.sum(F.xxhash64(F.lit(i), F.to_json(F.struct(*columns))).cast("decimal(38,0)")) for i, n in enumerate(DIGEST)}
+
+
+def digest_of(measured: dict) -> str:
+    return ":".join(str(measured[n] or 0) for n in ("rows", *DIGEST))
 
 
 def content_digest(rows: DataFrame, *columns: str | Column) -> str:
     """A digest of a table's rows in any order, made of sums of hashes: one small aggregate, whatever the table's size."""
-    h = [F.xxhash64(F.lit(i), F.to_json(F.struct(*columns))).cast("decimal(38,0)") for i in range(2)]
-    n, a, b = rows.agg(F.count("*"), F.sum(h[0]), F.sum(h[1])).first()
-    return f"{n}:{a}:{b}"
+    return digest_of(rows.agg(F.count("*").alias("rows"), *(c.alias(n) for n, c in digest_measures(*columns).items())).first().asDict())

@@ -1,13 +1,19 @@
 """All stages on the sample paper with deterministic answers, and resuming."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from quillmine.plans.completers import MockCompleter
 from quillmine.plans.config import Config
+from quillmine.operators import chunking
+from quillmine.plans import pipeline
 from quillmine.plans.pipeline import Run, chunk_fingerprints, mine, partial_topics
+from quillmine.plans.prompts import TEMPLATE
+from quillmine.sources import storage
+from quillmine.sources.storage import Stages
 
 SAMPLE = """# Sample paper
 
@@ -65,34 +71,74 @@ def test_resume_asks_nothing_again(spark, papers, tmp_path):
 
 
 def test_a_run_that_was_cut_short_keeps_its_answers(spark, papers, tmp_path):
-    """The third write of answers fails; the next run asks only for what is missing, and ends."""
+    """The last call of a task fails; what the task has committed before stays, and the next run asks only for the rest."""
 
     class Failing(MockCompleter):
-        asked, fail_at = [], 3
+        fail, asked = True, []
 
         def generate(self, calls):
             Failing.asked.append(calls.count())
-            if len(Failing.asked) == Failing.fail_at:
-                calls = calls.withColumn("prompt", F.raise_error(F.lit("cut short")).cast("string"))
-            return super().generate(calls)
+            found, fail = super().generate(calls.coalesce(1).sortWithinPartitions("paper_id", "chunk_index", "run_index")), Failing.fail
+
+            def slow(batches):
+                for n, batch in enumerate(batches):
+                    if fail and n == 4:
+                        time.sleep(5)  # the sink has had the time that a server's answer takes
+                        raise ValueError("cut short")
+                    yield batch
+
+            return found.mapInArrow(slow, found.schema)
 
-    root, config = str(tmp_path / "run"), Config(calls_per_write=5, heartbeat_chunk_interval=1)
+    # Workers pass rows on when 64 KB have come together, so prompts have a size that makes them.
+    root, config, template = str(tmp_path / "run"), Config(calls_per_write=4, heartbeat_chunk_interval=1), TEMPLATE + " word" * 10_000
     with pytest.raises(Exception, match="cut short"):
-        Run(spark, root, config, answers=Failing()).all(papers)
+        Run(spark, root, config, template, answers=Failing()).all(papers)
     state = json.loads((tmp_path / "run" / "run_state.json").read_text())
-    assert state["status"] == "failed" and state["calls"]["calls"]["mode"] == "generated" and state["calls"]["calls"]["writes"] == "2/4"
-    kept = sum(Failing.asked[:2])
-    assert spark.read.parquet(f"{root}/calls").count() == kept > 0
-    Failing.asked, Failing.fail_at = [], 0
-    final = Run(spark, root, config, answers=Failing()).all(papers)
-    assert sum(Failing.asked) == 18 - kept and final.count() > 0
+    kept = spark.read.parquet(f"{root}/calls").count()
+    assert state["status"] == "failed" and state["calls"]["calls"]["mode"] == "generated" and 12 <= kept < 18 and Failing.asked == [18]
+    Failing.fail = False
+    final = Run(spark, root, config, template, answers=Failing()).all(papers)
+    assert Failing.asked == [18, 18 - kept] and final.count() > 0
+    assert len(list((tmp_path / "run" / "calls").glob("part-*"))) <= kept // 4 + 1  # a task that ends leaves one file
     state = json.loads((tmp_path / "run" / "run_state.json").read_text())
-    assert state["status"] == "completed" and state["calls"]["calls"]["mode"] == "resumed"
+    assert state["status"] == "completed" and state["calls"]["calls"]["mode"] == "resumed" and state["calls"]["calls"]["answered"] == f"{18 - kept}/{18 - kept}"
     Run(spark, root, config, answers=Failing()).from_merge()
     state = json.loads((tmp_path / "run" / "run_state.json").read_text())
     assert state["entry"] == "from-merge" and state["calls"]["judge_calls"]["mode"] == "reused"
 
 
+def test_a_driver_that_is_lost_between_data_and_pointer_leaves_the_old_version(spark, papers, tmp_path, monkeypatch):
+    root, a, b = str(tmp_path / "run"), papers.where("paper_id = 'sample'"), papers.where("paper_id = 'other'")
+    ids = lambda df: {r["paper_id"] for r in df.collect()}
+    assert ids(Run(spark, root).chunks(a)) == {"sample"}
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(Stages, "commit", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        Run(spark, root).chunks(b)
+    monkeypatch.undo()
+    made = []
+    monkeypatch.setattr(pipeline, "make_chunks", lambda *x: (made.append(1), chunking.chunks(*x))[1])
+    assert ids(Run(spark, root).chunks(a)) == {"sample"} and not made  # the old version is whole and is taken as it is
+    assert ids(Run(spark, root).chunks(b)) == {"other"} and len(made) == 1
+    assert len(list((tmp_path / "run" / "chunks").iterdir())) == 2  # the current version and the one before; the lost one is gone
+
+
+def test_rows_and_digests_are_measured_while_tables_are_written(spark, papers, tmp_path):
+    root = str(tmp_path / "run")
+    run = Run(spark, root)
+    run.all(papers)
+    for stage, columns in (("candidates", pipeline.CANDIDATE), ("clusters", pipeline.CLUSTER), ("merged_topics", pipeline.TOPIC), ("scores", pipeline.SCORE)):
+        table = run.stages.read(stage)
+        assert run.counts[stage] == run.stages.measured(stage)["rows"] == table.count() > 0
+        assert storage.digest_of(run.stages.measured(stage)) == storage.content_digest(table, *columns)
+    assert run.counts["chunks"] == run.stages.read("chunks").count() and run.counts["final_topics"] == run.stages.read("final_topics").count()
+    empty = run.stages.table("empty", {}, lambda: spark.range(0))
+    assert empty.count() == 0 and run.stages.measured("empty")["rows"] == 0
+
+
 def test_an_aborted_first_write_leaves_nothing_in_the_way(spark, papers, tmp_path):
     class Broken(MockCompleter):
         def generate(self, calls):
@@ -116,7 +162,6 @@ def test_refused_requests_are_not_repeated():
 
 def test_template_lookup(tmp_path, monkeypatch):
     from quillmine.plans.cli import template
-    from quillmine.plans.prompts import TEMPLATE
 
     monkeypatch.chdir(tmp_path)
     assert template(None) == TEMPLATE

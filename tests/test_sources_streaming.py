@@ -7,10 +7,10 @@ import threading
 import pytest
 
 from quillmine.plans.cli import main
-from quillmine.plans.completers import LiveCompleter, message_text
+from quillmine.plans.completers import LiveCompleter, MockCompleter, message_text
 from quillmine.plans.config import Config
 from quillmine.sources import storage
-from quillmine.streaming.papers import mine_stream, paper_stream
+from quillmine.streaming.papers import latest_topics, mine_stream, paper_stream
 
 from .test_pipeline import SAMPLE
 
@@ -50,13 +50,33 @@ def test_command_line(spark, tmp_path, capsys):
     assert {d["topic_id"] for d in found} == {"r1_g2_topic_0001", "r1_g2_topic_0001__2"} and {d["source_group_file"] for d in found} == {"f"}
 
 
+class Counting(MockCompleter):
+    asked = []
+
+    def generate(self, calls):
+        Counting.asked.append(calls.count())
+        return super().generate(calls)
+
+
 def test_stream(spark, tmp_path):
+    """A paper that comes again asks nothing; one that comes with a changed chunk asks for that chunk only."""
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "one.md").write_text(SAMPLE, encoding="utf-8")
-    query = mine_stream(paper_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "check"))
-    query.awaitTermination(240)
-    found = spark.read.parquet(f"{tmp_path}/out/batch=0/final_topics")
-    assert {r["paper_id"] for r in found.collect()} == {"one"}
+    root = str(tmp_path / "out")
+
+    def arrives(folder, text):
+        (tmp_path / "in" / folder).mkdir()
+        (tmp_path / "in" / folder / "one.md").write_text(text, encoding="utf-8")
+        Counting.asked = []
+        mine_stream(paper_stream(spark, str(tmp_path / "in" / "*")), root, str(tmp_path / "check"), answers=Counting()).awaitTermination(240)
+        return Counting.asked
+
+    assert arrives("a", SAMPLE) == [9]
+    first = latest_topics(spark, root).collect()
+    assert {r["paper_id"] for r in first} == {"one"} and {r["batch"] for r in first} == {0}
+    assert arrives("b", SAMPLE) == []
+    assert arrives("c", SAMPLE.replace("Nobody has compared", "Nobody has yet compared")) == [3]
+    found = latest_topics(spark, root).collect()
+    assert len(found) > 0 and len({r["batch"] for r in found}) == 1 and found[0]["batch"] > 0
 
 
 def test_live_completer(spark):
@@ -99,7 +119,7 @@ def test_manifest_decides_what_is_reused(spark, tmp_path):
     for made_from in ({"a": 1}, {"a": 1}, {"a": 2}):
         assert stages.table("t", made_from, make).count() == 3
     assert len(made) == 2
-    stages.write_manifest("t", {"a": 2}, complete=False)
+    stages.commit("t", stages.manifest("t")["version"], {"a": 2}, False, {})
     stages.table("t", {"a": 2}, make)
     assert len(made) == 3
     stages.clear("t")
