@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -105,5 +106,11 @@ def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     return placed.withColumn(name, start + F.col("_at")).drop("_part", "_at")
 
 
+def freed(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of steps that nothing refers to any more; by itself it does so when the driver happens to run short of memory."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

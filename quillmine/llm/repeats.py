@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import appended, carried, pieces, saved, stored, table, texts
+from .common import appended, carried, freed, pieces, removed, saved, table, texts, written
 from .line_dedup import versions
 from .near_dedup import mixed
 
@@ -187,6 +187,22 @@ def _repeated(window: int):
     return run
 
 
+def _shared(docs: DataFrame, window: int, minimiser: int, id_col: str, text_col: str, bucket: int) -> DataFrame:
+    """(_id, _version, _shared): the places of a document's super-k-mers whose minimiser occurs again, with the number of its buckets."""
+    places, path = written(versions(docs, id_col, text_col).mapInArrow(_places(window, minimiser), "doc_id long, version long, minimiser long, at int"), "places")
+    often = places.groupBy("minimiser").agg(F.count("*").alias("_n")).where("_n > 1").select("minimiser", F.ceil(F.col("_n") / bucket).cast("int").alias("buckets"))
+    out = saved(places.join(often.hint("merge"), "minimiser").groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).agg(F.collect_set(F.struct("at", "buckets")).alias("_shared")))
+    removed(docs.sparkSession, path)
+    return out
+
+
+def _found(docs: DataFrame, shared: DataFrame, window: int, minimiser: int, id_col: str, text_col: str) -> DataFrame:
+    """What the buckets have found, as rows of ``FOUND``."""
+    rows = versions(docs, id_col, text_col).join(shared.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")))
+    packed = rows.select("doc_id", "version", "text", "_shared").mapInArrow(_packed(window, minimiser), "minimiser long, bucket int, several boolean, doc_ids array<long>, versions array<long>, ats array<int>, words binary")
+    return saved(packed.repartition("minimiser", "bucket").sortWithinPartitions("minimiser", "bucket").mapInArrow(_repeated(window), FOUND))
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """One row per document with repeated windows: doc_id, version (a hash of the text), repeats: the set of (at, n), n windows from word ``at``.
 
@@ -195,14 +211,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, minimiser: int = MIN
     repeat an id are documents of their own, as are rows without id, so a text that comes twice repeats itself.
     Very long texts are taken whole. An empty table gives no rows; other columns are not read.
     """
-    rows = versions(docs, id_col, text_col)
-    places = stored(rows.mapInArrow(_places(window, minimiser), "doc_id long, version long, minimiser long, at int"), "places")
-    often = places.groupBy("minimiser").agg(F.count("*").alias("_n")).where("_n > 1").select("minimiser", F.ceil(F.col("_n") / bucket).cast("int").alias("buckets"))
-    shared = places.join(often.hint("merge"), "minimiser").groupBy("doc_id", "version").agg(F.collect_set(F.struct("at", "buckets")).alias("_shared"))
-    shared = shared.withColumnsRenamed({"doc_id": "_id", "version": "_version"})
-    wanted = rows.join(shared.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))).select("doc_id", "version", "text", "_shared")
-    packed = wanted.mapInArrow(_packed(window, minimiser), "minimiser long, bucket int, several boolean, doc_ids array<long>, versions array<long>, ats array<int>, words binary")
-    found = saved(packed.repartition("minimiser", "bucket").sortWithinPartitions("minimiser", "bucket").mapInArrow(_repeated(window), FOUND))
+    spark = docs.sparkSession
+    shared = _shared(docs, window, minimiser, id_col, text_col, bucket)
+    freed(spark)
+    found = _found(docs, shared, window, minimiser, id_col, text_col)
+    freed(spark)
     open_ = found.where("fingerprint is not null")
     heavy = open_.groupBy("fingerprint").agg(F.sum("weight").alias("_times")).where("_times > 1").select("fingerprint")
     late = open_.where("n > 0").join(heavy.hint("merge"), "fingerprint")
