@@ -33,7 +33,7 @@ SHARE = (100, 100)
 TOP = 2000
 CHUNK = 4 << 20  # bytes of text of a chunk
 WAITING = 16 << 20  # of all languages' chunks that a task has begun
-PARTITION = 1 << 20  # words that a partition's fragments come from, about
+PARTITION = 1 << 19  # words that a partition's fragments come from, about
 PIVOT = 1 << 17  # occurrences of a pivot that go to one partition
 STOP = b"\xff"  # in no UTF-8 text
 #: A-Z to lower case, ends of pieces to STOP.
@@ -186,8 +186,8 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, lang_col: str, t
     totals = of_chunk.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n"))
     languages = saved(chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("total")))
     words = saved(numbered(totals.where(F.col("n") >= least), [F.col("n").desc(), "lang", "word"], "id").withColumn("id", F.col("id").cast("int")))
-    known = of_chunk.select("chunk", "lang", "at", F.col("w.words").alias("word")).join(words.hint("merge"), ["lang", "word"])
-    known = known.groupBy("chunk").agg(F.collect_list(F.struct("at", "id", "n")).alias("_known"))  # no more than a chunk has words
+    known = of_chunk.select("chunk", "lang", "at", F.col("w.words").alias("word")).join(words.hint("merge"), ["lang", "word"], "left")
+    known = known.groupBy("chunk").agg(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("at", "id", "n"))).alias("_known"))  # no more than a chunk has words
     partitions = max(1, -(-(languages.agg(F.sum("total")).first()[0] or 0) // PARTITION))
     sent = chunks.select("chunk", "codes", "width").join(known.hint("merge"), "chunk").select("codes", "width", "_known")
     sent = sent.mapInArrow(_fragments(longest, partitions, pivot), "partition long, several boolean, large boolean, packed binary")
