@@ -9,11 +9,11 @@ of a source's), so no source, however large, meets in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import numbered, saved, table
+from .common import numbered, saved, stored, table
 
 WEIGHTS = [1, 2, 3]
 MOST_SENT = 100_000  # sources whose small tables are broadcast; those of more are joined by merging
@@ -56,15 +56,15 @@ def mix(docs: DataFrame, weights: list[float] = WEIGHTS, most: int = 3, seed: in
     rows give the same result in any partitioning, up to which of several such rows is taken. Very long texts are counted whole.
     An empty table gives no rows; other columns are not read.
     """
-    return placed_mix(docs, weights, most, seed, id_col, text_col, source_col).drop("row")
+    return placed_mix(docs, F.monotonically_increasing_id(), weights, most, seed, id_col, text_col, source_col).drop("row")
 
 
-def placed_mix(docs: DataFrame, weights: list[float] = WEIGHTS, most: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``mix`` with ``row``, the place of the row in ``docs``: its monotonically_increasing_id()."""
+def placed_mix(docs: DataFrame, row: Column, weights: list[float] = WEIGHTS, most: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``mix`` with ``row``, a number of each row of ``docs``."""
     text, doc_id = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.col(f"`{id_col}`").cast("long")
     sizes = saved(
         docs.select(
-            doc_id.alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.xxhash64(F.lit(seed), doc_id).alias("_hash"), F.monotonically_increasing_id().alias("row")
+            doc_id.alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.xxhash64(F.lit(seed), doc_id).alias("_hash"), row.alias("row")
         )
     )
     sources = ranked(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")))
@@ -117,11 +117,12 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, all columns as they were, and ``repeats``: how many times each (a column of that name is replaced).
 
-    ``docs`` must be a stored table, whose rows come in the same places when it is read again. Null and empty texts have no words and are
-    never taken. Rows are decided one by one, also where they share an id or have none. An empty table stays empty. Names of other
+    Rows are stored with a number first, so the second reading finds them whatever the partitions are by then. Null and empty texts have no
+    words and are never taken. Rows are decided one by one, also where they share an id or have none. An empty table stays empty. Names of other
     columns do not matter.
     """
-    taken = placed_mix(docs).where("repeats > 0").select(F.col("row").alias("_taken"), F.col("repeats").alias("_repeats"))
+    rows = stored(docs.select(F.struct("*").alias("carried"), F.monotonically_increasing_id().alias("_row")), "numbered")
+    read = rows.select(*(F.col(f"carried.{c}").alias(c) for c in ("doc_id", "text", "source")), "_row")
+    taken = placed_mix(read, F.col("_row")).where("repeats > 0").select(F.col("row").alias("_taken"), F.col("repeats").alias("_repeats"))
     kept = [F.col(f"carried.`{c}`") for c in docs.columns if c.lower() != "repeats"]
-    rows = docs.select(F.struct("*").alias("carried"), F.monotonically_increasing_id().alias("_row"))
     return rows.join(taken, F.col("_row") == F.col("_taken")).select(*kept, F.col("_repeats").alias("repeats"))
