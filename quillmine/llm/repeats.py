@@ -191,6 +191,7 @@ def _shared(docs: DataFrame, window: int, minimiser: int, id_col: str, text_col:
     """(_id, _version, _shared): the places of a document's super-k-mers whose minimiser occurs again, with the number of its buckets."""
     places, path = written(versions(docs, id_col, text_col).mapInArrow(_places(window, minimiser), "doc_id long, version long, minimiser long, at int"), "places")
     often = places.groupBy("minimiser").agg(F.count("*").alias("_n")).where("_n > 1").select("minimiser", F.ceil(F.col("_n") / bucket).cast("int").alias("buckets"))
+    often = saved(often)  # joined by an exchange of its own, which Spark can split where a minimiser is very frequent
     out = saved(places.join(often.hint("merge"), "minimiser").groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).agg(F.collect_set(F.struct("at", "buckets")).alias("_shared")))
     removed(docs.sparkSession, path)
     return out
