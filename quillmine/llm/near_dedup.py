@@ -4,7 +4,7 @@ Signature. A shingle's hash is permuted (sigma) to a slot of a table that holds
 coordinate k is the minimum of pi at slot + k over the set. Shifting pi by k is reading the table k further on, so a shingle adds
 one contiguous slice of the table to all coordinates.
 
-Plan. (1) One pass makes (id, set size, set key, band hashes). Equal sets form classes; the smallest id stands for a class.
+Plan. (1) One pass makes (id, set size, set key, band hashes). Equal sets form classes; the smallest id, and its text, stands for a class.
 (2) Buckets of equal band hashes give star edges to their smallest member, a number linear in the members; components of this
 graph hold every candidate pair. (3) Only documents in such components are read again. A component is dealt into blocks of bounded
 size, each with the component's pivots, which join the blocks' classes; a block's task links its members by exact comparison, skipping pairs that are linked
@@ -175,31 +175,36 @@ def _linked(k: int, num: int, den: int):
 def near_dedup(
     docs: DataFrame, k: int = SHINGLE, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, wide_block: int = WIDE_BLOCK
 ) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept, version (a hash of the text).
+    """One row per input row: doc_id, n_shingles, component_id, kept, version (a hash of the text), stays.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a set holds the distinct shingles of ``k`` words, of the whole sequence
-    where there are fewer words. Documents are linked if den * intersection >= num * union for ``threshold`` (num, den); component_id is
-    the smallest id reachable; kept where it is the own id. Null and empty texts have no shingles and no links. Rows that repeat
-    an id are one document (equal texts are expected of them) and are all returned. A row without id belongs to the
-    component of its set, or to none (null, kept) if no id has it. A very long text is one set as any other. An empty table gives no rows;
+    where there are fewer words. Sets are linked if den * intersection >= num * union for ``threshold`` (num, den); component_id is
+    the smallest id whose text has a set of the component; kept where it is the own id. Null and empty texts have no shingles and no links.
+    Rows that repeat an id are documents of their own: each is in the component of its own set, so different texts of one id never cost
+    each other, and all links count. ``stays`` is true for one text of each component, the smallest (id, version), and for all rows without shingles;
+    rows that repeat an id and its text are all returned and stay or go together. A row without id belongs to the
+    component of its set, or to none (null; kept, and stays) if no id has it. A very long text is one set as any other. An empty table gives no rows;
     other columns are not read. Sets are compared as 64-bit hashes of shingles.
     """
     num, den = threshold
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    features = saved(rows.select("doc_id", F.xxhash64("text").alias("version"), "text").mapInArrow(_features(k), "doc_id long, version long, n_shingles long, key binary, bands array<long>"))
-    classes = features.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    classes = saved(classes)
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
+    features = saved(rows.mapInArrow(_features(k), "doc_id long, version long, n_shingles long, key binary, bands array<long>"))
+    # Nodes are sets, not ids; what is saved has its number for good.
+    classes = features.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min(F.struct("doc_id", "version")).alias("low"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()))
     members = classes.select("node", F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").select("band", "low")
     stars = members.join(buckets.hint("merge"), "band").where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
     near = connected_components(stars)
 
-    nodes = saved(near.join(classes.select("node", "n").hint("merge"), "node"))
+    nodes = saved(near.join(classes.select("node", "n", "low").hint("merge"), "node"))
     # Only components of several blocks need their size; saved, it is joined by an exchange that Spark can split.
     weight = F.greatest("n", F.lit(SHINGLES_EACH))
     sizes = saved(nodes.groupBy("comp").agg(F.sum(weight).alias("total"), F.count("*").alias("members")).where(F.col("total") > block))
     nodes = nodes.join(sizes.hint("merge"), "comp", "left").fillna(1, ["total", "members"])
-    with_text = saved(nodes.join(rows.where("doc_id is not null").withColumnRenamed("doc_id", "node").hint("merge"), "node"))
+    named = nodes.withColumns({"doc_id": F.col("low.doc_id"), "version": F.col("low.version")}).drop("low")
+    with_text = saved(named.join(rows.hint("merge"), ["doc_id", "version"]))
 
     def blocks(size: int) -> Column:
         return F.ceil(F.col("total") / size).cast("int")
@@ -236,22 +241,27 @@ def near_dedup(
             every = near.select("node").join(labels.hint("merge"), "node", "left").select("node", F.coalesce("comp", "node").alias("label"))
             labels = every.join(joined.select(F.col("node").alias("label"), "comp").hint("merge"), "label", "left").select("node", F.coalesce("comp", "label").alias("comp"))
 
-    found = classes.select("key", "node").join(labels.hint("merge"), "node", "left").select("key", F.coalesce("comp", "node").alias("component"))
+    linked_ones = saved(labels.join(classes.select("node", "low").hint("merge"), "node"))
+    firsts = saved(linked_ones.groupBy("comp").agg(F.min("low").alias("first")))
+    linked_ones = linked_ones.join(firsts.hint("merge"), "comp").select("node", "first")
+    found = classes.select("key", "node", "low").join(linked_ones.hint("merge"), "node", "left").select("key", F.coalesce("first", "low").alias("first"))
     out = features.select("doc_id", "version", "n_shingles", "key").join(found.hint("merge"), "key", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "version")
+    some = F.col("n_shingles") > 0
+    component = F.when(some, F.col("first.doc_id")).otherwise(F.col("doc_id"))
+    stays = ~some | F.col("first").isNull() | F.struct("doc_id", "version").eqNullSafe(F.col("first"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "version", stays.alias("stays"))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), k=4).drop("version")
+    return near_dedup(table(spark, sf_dir, "documents"), k=4).drop("version", "stays")
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each component (shingles of five words, similarity 0.8), all columns as they were.
+    """One text of each component, that of the smallest id, and of several texts of that id the one with the smallest hash (shingles of five words, similarity 0.8); all columns as they were.
 
-    Texts without words have no likeness and stay. Rows that repeat an id and its text stay or go together; a row without id goes only where
-    a document with an id has the same shingles. An empty table stays empty. Names of columns do not matter: only ``doc_id`` and ``text`` are read.
+    Texts without words have no likeness and stay. Rows that repeat an id and its text stay or go together, texts of one id are judged one by one;
+    a row without id goes only where a document with an id has the same shingles. An empty table stays empty. Names of columns do not matter: only ``doc_id`` and ``text`` are read.
     """
-    stay = near_dedup(docs).where("kept").select(F.col("doc_id").alias("_stay"), F.col("version").alias("_kept")).distinct()
+    stay = near_dedup(docs).where("stays").select(F.col("doc_id").alias("_stay"), F.col("version").alias("_kept")).distinct()
     rows = docs.select(F.struct("*").alias("carried"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_version"))
     return rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay")) & (F.col("_version") == F.col("_kept")), "left_semi").select("carried.*")
