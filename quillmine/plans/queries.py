@@ -12,6 +12,8 @@ from ..operators import chunking as K
 from ..operators import merge as M
 from ..operators import scoring as S
 from ..operators import similarity as Y
+from ..operators import similarity_join as J
+from ..operators.cluster_rounds import cluster_candidates
 from .config import JUDGE_KEYS, Config
 from .prompts import TEMPLATE, candidate_prompt
 
@@ -259,6 +261,26 @@ def tfidf_cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 TFIDF_COSINE_PAIRS = f'WITH {_tfidf_sql("text")} SELECT batch, "left", "right", round(similarity, 6) AS similarity FROM pairs'
 
 
+def tfidf_cosine_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of all documents, in one batch; a document that repeats another's tokens has a link to the first of them."""
+    rows = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    return J.pruned_pairs(rows, [], "doc_id", F.col("text"), THRESHOLD).withColumn("similarity", F.round("similarity", 6))
+
+
+TFIDF_COSINE_PAIRS_ALL = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+bags AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(w)) AS first FROM docs WHERE len(w) > 0),
+tf AS (SELECT doc_id, token, count(*) / any_value(n_tokens) AS tf FROM (SELECT doc_id, len(w) AS n_tokens, unnest(w) AS token FROM docs) GROUP BY doc_id, token),
+idf AS (SELECT token, ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY token),
+vec AS (SELECT tf.doc_id, token, tf * idf AS w FROM tf JOIN idf USING (token) JOIN bags b ON b.doc_id = tf.doc_id AND b.first = b.doc_id),
+norm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM vec GROUP BY doc_id)
+SELECT l AS "left", r AS "right", round(dot / (a.norm * b.norm), 6) AS similarity
+FROM (SELECT x.doc_id AS l, y.doc_id AS r, sum(x.w * y.w) AS dot FROM vec x JOIN vec y ON x.token = y.token AND x.doc_id < y.doc_id GROUP BY ALL)
+JOIN norm a ON a.doc_id = l JOIN norm b ON b.doc_id = r WHERE dot / (a.norm * b.norm) >= {THRESHOLD}
+UNION ALL SELECT first, doc_id, 1.0 FROM bags WHERE first <> doc_id
+"""
+
+
 def embedding_cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "embeddings").withColumn("batch", F.floor(F.col("vec_id") / BATCH))
     return Y.dense_cosine_pairs(rows, "vec_id", "embedding", ["batch"], 0.3).withColumn("similarity", F.round("similarity", 6))
@@ -569,7 +591,7 @@ FROM part, (VALUES {", ".join(f"({i}, '{k}')" for i, k in enumerate(JUDGE_KEYS))
 def cluster_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of a brand by name, each name one word: brands of more than 50 parts go in slices first, and then once whole."""
     rows = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("paper_id"), F.col("p_partkey").alias("candidate_ordinal"), F.col("p_partkey").cast("string").alias("candidate_id"), F.replace("p_name", F.lit(" "), F.lit("")).alias("topic"), F.lit("").alias("derivation_logic"))
-    clusters, _ = Y.cluster_candidates(rows, THRESHOLD, BATCH)
+    clusters, _ = cluster_candidates(rows, THRESHOLD, BATCH)
     return clusters.select("paper_id", "cluster_id", F.array_join("candidate_ids", ",").alias("members"), "cluster_size", "representative_topic")
 
 
@@ -683,7 +705,7 @@ def mock_pipeline_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     topic_vote_status, judge_pivot_spread, first_per_key_dedupe, duplicate_count, noise_flags, noise_filter, priority_case, source_type_case, compress_text, text_scalars, tokenize_tf,
-    idf_batch_local, tfidf_cosine_pairs, embedding_cosine_pairs, embedding_cosine_pairs_all, dup_components, dup_components_all, cluster_representatives, line_paragraphs, section_paths, sentence_split, greedy_chunks, run_grid,
+    idf_batch_local, tfidf_cosine_pairs, tfidf_cosine_pairs_all, embedding_cosine_pairs, embedding_cosine_pairs_all, dup_components, dup_components_all, cluster_representatives, line_paragraphs, section_paths, sentence_split, greedy_chunks, run_grid,
     missing_calls, completed_keys, merge_items, zip_short_side, final_left_last_wins, kv_score_parse, json_score_parse, stage_fingerprint, occurrence_suffix,
     candidate_parse, candidate_dedupe, empty_parses, known_chunks, merged_topics, topic_items, judge_grid, cluster_rounds, unique_clean_texts, prompt_render, entity_fingerprints, mock_pipeline_e2e,
 ]
