@@ -9,7 +9,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.storage import read_papers, write_json
+from ..sources.documents import paper_documents, write_documents
+from ..sources.storage import read_papers
 from .config import Config
 from .deploy import ship
 from .pipeline import Run
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         rows = spark.read.schema(PARTIAL).option("multiLine", True).json(args.input)
         flat = rows.select("paper_id", F.posexplode("topics").alias("_at", "t")).select("paper_id", (F.col("_at") + 1).alias("position"), "t.*")
         out = run.from_partial(flat)
-    write_json(out.orderBy("paper_id", "topic_ordinal"), f"{args.output}/final_json")
+    papers = out if args.entry == "from-partial-score" else run.stages.read("chunks")
+    write_documents(paper_documents(out, papers), f"{args.output}/final_json", F.col("paper_id"), F.col("document"))
     for name, n in run.counts.items():
         print(f"{name}: {n}")
     return 0

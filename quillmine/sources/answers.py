@@ -92,12 +92,6 @@ class Answers:
     def __init__(self, stages: Stages, name: str):
         self.stages, self.spark, self.folder = stages, stages.spark, f"{stages.root}/{name}"
 
-    def uri(self) -> str:
-        """The folder as executors name it, whatever the default file system is."""
-        p, fs = self.stages._file(self.folder)
-        said = str(fs.makeQualified(p).toString())
-        return re.sub(r"^file:/+", "file:///", said)
-
     def kept(self) -> int:
         """Rows committed so far, by the files' names."""
         return sum(int(m[1]) for m in map(NAME.match, self.stages.names(self.folder)) if m)
@@ -113,7 +107,7 @@ class Answers:
         before = self.spark.conf.get(BATCH)
         self.spark.conf.set(BATCH, str(every))
         try:
-            rows.write.format(FORMAT).option("path", self.uri()).option("rows", str(every)).mode("append").save()
+            rows.write.format(FORMAT).option("path", self.stages.uri(self.folder)).option("rows", str(every)).mode("append").save()
         finally:
             self.spark.conf.set(BATCH, before)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 
@@ -96,6 +97,11 @@ class Stages:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def uri(self, path: str) -> str:
+        """A path as every process names it, whatever the default file system is."""
+        p, fs = self._file(path)
+        return re.sub(r"^file:/+", "file:///", str(fs.makeQualified(p).toString()))
+
     def exists(self, path: str) -> bool:
         p, fs = self._file(path)
         return fs.exists(p)

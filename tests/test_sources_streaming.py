@@ -5,11 +5,13 @@ import json
 import threading
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillmine.plans.cli import main
 from quillmine.plans.completers import LiveCompleter, MockCompleter, message_text
 from quillmine.plans.config import Config
-from quillmine.sources import storage
+from quillmine.sources import documents, storage
 from quillmine.streaming.papers import latest_topics, mine_stream, paper_stream
 
 from .test_pipeline import SAMPLE
@@ -39,14 +41,17 @@ def test_command_line(spark, tmp_path, capsys):
     root = str(tmp_path / "out")
     assert main(["run", "--input", str(tmp_path / "paper.md"), "--output", root, "--mode", "mock", "--paper-id", "x"], spark) == 0
     assert "chunks: 3" in capsys.readouterr().out
-    docs = [json.loads(r["value"]) for r in spark.read.text(f"{root}/final_json").collect()]
-    assert docs and {d["paper_id"] for d in docs} == {"x"} and all(d["status"] in ("accepted", "review") for d in docs)
+    doc = json.loads((tmp_path / "out" / "final_json" / "x.json").read_text(encoding="utf-8"))
+    table = storage.Stages(spark, root).read("final_topics")
+    assert doc["paper_id"] == "x" and doc["counts"] == {"accepted": 0, "review": len(doc["final_topics"])}
+    read = storage.read_json(spark, f"{root}/final_json/x.json", T.StructType([T.StructField("final_topics", T.ArrayType(T.StructType([f for f in table.schema if f.name != "paper_id"])))]))
+    assert read.selectExpr("inline(final_topics)").collect() == table.orderBy("topic_ordinal").drop("paper_id").collect() != []
     assert main(["from-merge", "--output", root, "--mode", "mock"], spark) == 0
     topic = {"topic_id": "topic_0001", "paper_id": "x", "title": "A longer title", "normalized_title": "a", "merged_derivation_logic": "l", "implementation_steps": ["a", "b", "c"], "source_candidate_ids": [], "source_chunk_ids": [], "evidence_quotes": ["q"]}
     partial = {"paper_id": "x", "source": "s", "topics": [{"topic": topic, "source_round": 1, "source_group": 2, "source_group_file": "f"}] * 2}
     (tmp_path / "partial.json").write_text(json.dumps(partial), encoding="utf-8")
     assert main(["from-partial-score", "--input", str(tmp_path / "partial.json"), "--output", root + "2", "--mode", "mock"], spark) == 0
-    found = [json.loads(r["value"]) for r in spark.read.text(f"{root}2/final_json").collect()]
+    found = json.loads((tmp_path / "out2" / "final_json" / "x.json").read_text(encoding="utf-8"))["final_topics"]
     assert {d["topic_id"] for d in found} == {"r1_g2_topic_0001", "r1_g2_topic_0001__2"} and {d["source_group_file"] for d in found} == {"f"}
 
 
@@ -58,6 +63,17 @@ class Counting(MockCompleter):
         return super().generate(calls)
 
 
+def test_documents_are_whole_and_listed(spark, tmp_path):
+    final = spark.createDataFrame([("a/b", 2, "accepted", None), ("a/b", 1, "review", "é")], "paper_id string, topic_ordinal int, status string, title string")
+    papers = spark.createDataFrame([("a/b",), ("a/b",), ("none",), (None,)], "paper_id string")
+    for _ in range(2):  # a second run replaces
+        documents.write_documents(documents.paper_documents(final, papers), str(tmp_path / "out"), F.col("paper_id"), F.col("document"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["_documents.json", "a%2Fb.json", "none.json"]
+    a, none, listed = (json.loads((tmp_path / "out" / n).read_text(encoding="utf-8")) for n in ("a%2Fb.json", "none.json", "_documents.json"))
+    assert [t["topic_ordinal"] for t in a["final_topics"]] == [1, 2] and a["final_topics"][1]["title"] is None and a["final_topics"][0]["title"] == "é" and a["counts"] == {"accepted": 1, "review": 1}
+    assert none == {"paper_id": "none", "counts": {"accepted": 0, "review": 0}, "final_topics": []} and listed == {"documents": 2, "names": ["a%2Fb.json", "none.json"]}
+
+
 def test_stream(spark, tmp_path):
     """A paper that comes again asks nothing; one that comes with a changed chunk asks for that chunk only."""
     (tmp_path / "in").mkdir()
