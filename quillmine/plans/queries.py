@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ..functions import predicates as P
 from ..functions import text as X
@@ -601,6 +602,98 @@ SELECT paper_id, printf('cluster_%04d', row_number() OVER (PARTITION BY paper_id
 """
 
 
+class RuleCompleter:
+    """Merges by rule, for SQL to follow: every ``size`` items of a group, in order, become one topic, with the first one's title; the size differs by paper."""
+
+    name = "rule"
+
+    def __init__(self, size: Column):
+        self.size = size
+
+    def merge(self, groups: DataFrame) -> DataFrame:
+        def topic(i: Column) -> Column:
+            mine = F.slice("merge_items", i * self.size + 1, self.size)
+            first = F.get(mine, F.lit(0))
+            return F.struct(
+                F.format_string("topic_%04d", i + 1).alias("topic_id"),
+                first["representative_topic"].alias("title"),
+                first["representative_logic"].alias("merged_derivation_logic"),
+                F.array(F.lit("a"), F.lit("b"), F.lit("c")).alias("implementation_steps"),
+                F.flatten(F.transform(mine, lambda x: x["candidate_ids"])).alias("source_candidate_ids"),
+                F.flatten(F.transform(mine, lambda x: F.transform(x["source_chunks"], lambda c: c["source_chunk_id"]))).alias("source_chunk_ids"),
+                F.array(F.lit("q")).alias("evidence_quotes"),
+                F.lit("").alias("merge_notes"),
+            )
+
+        n = F.ceil(F.size("merge_items") / self.size).cast("int")
+        return groups.withColumns({"raw_output": F.to_json(F.struct(F.transform(F.sequence(F.lit(0), n - 1), topic).alias("merged_topics"))), "status": F.lit("ok"), "error": F.lit(None).cast("string")})
+
+
+RULE_GROUP = 4
+
+
+def merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of a brand, merged in groups of four: by twos, by threes, or (every third brand) not at all. The second of every four parts has no chunk id."""
+    part = _t(spark, sf_dir, "part").withColumn("_place", F.row_number().over(W.partitionBy("p_brand").orderBy("p_partkey")))
+    chunk = F.when(F.col("_place") % 4 == 2, F.lit(" ")).otherwise(F.concat(F.lit("h"), F.col("p_partkey").cast("string")))
+    steps, key = F.array(F.lit("s")), F.col("p_partkey").cast("string")
+    context = F.struct(key.alias("candidate_id"), F.col("p_name").alias("topic"), F.col("p_type").alias("derivation_logic"), steps.alias("implementation_steps"), chunk.alias("source_chunk_id"), F.array("p_type").alias("section_path"), F.col("p_name").alias("source_chunk_text"))
+    item = F.struct(key.alias("cluster_id"), F.col("p_name").alias("representative_topic"), F.col("p_type").alias("representative_logic"), F.array(key).alias("candidate_ids"), F.lit(1).alias("cluster_size"), F.array(context).cast(f"array<{M.CONTEXT}>").alias("source_chunks"))
+    size = F.pmod(F.substring_index("paper_id", "#", -1).cast("int"), F.lit(3)) + 1
+    topics, _ = M.merge_rounds(part.select(F.col("p_brand").alias("paper_id"), F.col("p_partkey").alias("ord"), item.alias("item")), RuleCompleter(size).merge, Config(merge_group_size=RULE_GROUP))
+    contexts = F.array_join(F.transform("source_chunk_contexts", lambda c: F.concat_ws(":", c["candidate_id"], c["topic"])), ",")
+    return topics.select("paper_id", "topic_id", "round_index", "title", F.array_join("source_candidate_ids", ",").alias("members"), contexts.alias("contexts"))
+
+
+MERGE_ROUNDS = f"""
+WITH RECURSIVE items AS (
+  SELECT p_brand AS paper_id, p_partkey, p_name, CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INT) % 3 + 1 AS k,
+    row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS first, count(*) OVER (PARTITION BY p_brand) AS n FROM part
+),
+-- where each part is after each round: its place among the paper's n topics, the round's group and topic
+rounds AS (
+  SELECT paper_id, p_partkey, p_name, k, first, first AS place, n, 0 AS round_index, 0::BIGINT AS g, 0::BIGINT AS t, false AS over FROM items
+  UNION ALL
+  SELECT paper_id, p_partkey, p_name, k, first, (place - 1) // {RULE_GROUP} * (({RULE_GROUP} + k - 1) // k) + (place - 1) % {RULE_GROUP} // k + 1,
+    n // {RULE_GROUP} * (({RULE_GROUP} + k - 1) // k) + (n % {RULE_GROUP} + k - 1) // k, round_index + 1, (place - 1) // {RULE_GROUP} + 1, (place - 1) % {RULE_GROUP} // k + 1,
+    n <= {RULE_GROUP} OR n // {RULE_GROUP} * (({RULE_GROUP} + k - 1) // k) + (n % {RULE_GROUP} + k - 1) // k >= n
+  FROM rounds WHERE NOT over
+)
+SELECT paper_id, 'r' || round_index || '_g' || g || '_topic_' || lpad(t::VARCHAR, 4, '0') AS topic_id, round_index, arg_min(p_name, p_partkey) AS title, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS members,
+  coalesce(string_agg(p_partkey::VARCHAR || ':' || p_name, ',' ORDER BY p_partkey) FILTER (WHERE round_index = 1 OR first % 4 <> 2), '') AS contexts
+FROM rounds WHERE over GROUP BY paper_id, round_index, g, t
+"""
+
+
+def partial_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of separate rounds, scored and judged: ids by round, group and occurrence, and where each final topic came from."""
+    from .pipeline import partial_topics, with_origins
+
+    texts = lambda n: F.transform(F.sequence(F.lit(1), n), lambda i: i.cast("string"))
+    topic = F.struct(
+        F.concat(F.lit("r9_g9_t"), F.col("p_partkey") % 7).alias("topic_id"), F.col("p_name").alias("title"), F.col("p_type").alias("merged_derivation_logic"), texts(F.when(F.col("p_size") % 11 == 0, 2).otherwise(3)).alias("implementation_steps"),
+        F.when(F.col("p_size") % 10 == 0, F.array().cast("array<string>")).otherwise(F.array("p_type")).alias("evidence_quotes"), F.array("p_brand").alias("source_chunk_ids"),
+    )
+    said = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" t"), F.col("p_partkey") % 7))
+    rows = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("paper_id"), F.col("p_partkey").alias("position"), F.lit("2").alias("source_round"), (F.col("p_size") % 3).cast("string").alias("source_group"), F.col("p_type").alias("source_group_file"), said.alias("original_topic_id"), topic.alias("topic"))
+    topics = partial_topics(rows)
+    of = topics.select("paper_id", "topic_id", F.col("topic_ordinal").alias("p_partkey"))
+    ordinal = F.array_position(F.array(*map(F.lit, JUDGE_KEYS)), F.col("judge_model")) - 1
+    scores = _part_scores(spark, sf_dir).join(of, "p_partkey").withColumns({"judge_ordinal": ordinal, "comment": F.lit("c")})
+    facts = topics.select("paper_id", "topic_id", F.size("evidence_quotes").alias("n_quotes"), F.size("implementation_steps").alias("n_steps"))
+    final = with_origins(S.final_topics(topics, scores, S.aggregate_scores(scores, facts, ["paper_id", "topic_id"])), topics)
+    return final.select("paper_id", "topic_id", "title", "status", F.col("aggregate_score.final_overall").alias("final_overall"), F.size("judges").alias("n_judges"), "source_round", "source_group", "source_group_file", "original_topic_id")
+
+
+PARTIAL_FINAL = f"""
+WITH judged AS ({TOPIC_VOTE_STATUS.strip()}),
+bare AS (SELECT *, 't' || p_partkey % 7 AS o, 'r2_g' || p_size % 3 || '_t' || p_partkey % 7 AS b FROM part),
+named AS (SELECT *, row_number() OVER (PARTITION BY p_brand, b ORDER BY p_partkey) AS nth FROM bare)
+SELECT p_brand AS paper_id, b || CASE WHEN nth > 1 THEN '__' || nth ELSE '' END AS topic_id, p_name AS title, status, final_overall, 3 AS n_judges, '2' AS source_round, (p_size % 3)::VARCHAR AS source_group, p_type AS source_group_file, o AS original_topic_id
+FROM named JOIN judged USING (p_partkey) WHERE status <> 'rejected'
+"""
+
+
 def unique_clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.array(F.concat(F.lit(" "), "p_name"), F.lit("  "), F.col("p_type"), F.concat(F.col("p_name"), F.lit("\n")), F.lower("p_type"))
     return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(X.unique_texts(found), "|").alias("distinct_texts"), F.array_join(X.stripped_texts(found), "|").alias("texts"))
@@ -707,7 +800,7 @@ _ALL = [
     topic_vote_status, judge_pivot_spread, first_per_key_dedupe, duplicate_count, noise_flags, noise_filter, priority_case, source_type_case, compress_text, text_scalars, tokenize_tf,
     idf_batch_local, tfidf_cosine_pairs, tfidf_cosine_pairs_all, embedding_cosine_pairs, embedding_cosine_pairs_all, dup_components, dup_components_all, cluster_representatives, line_paragraphs, section_paths, sentence_split, greedy_chunks, run_grid,
     missing_calls, completed_keys, merge_items, zip_short_side, final_left_last_wins, kv_score_parse, json_score_parse, stage_fingerprint, occurrence_suffix,
-    candidate_parse, candidate_dedupe, empty_parses, known_chunks, merged_topics, topic_items, judge_grid, cluster_rounds, unique_clean_texts, prompt_render, entity_fingerprints, mock_pipeline_e2e,
+    candidate_parse, candidate_dedupe, empty_parses, known_chunks, merged_topics, topic_items, judge_grid, cluster_rounds, merge_rounds, partial_final, unique_clean_texts, prompt_render, entity_fingerprints, mock_pipeline_e2e,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
 #: Chunking cuts texts in a loop, and the end-to-end run asks a completer; tests hold both against Python.
