@@ -400,6 +400,60 @@ def greedy_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.chunks(papers).select("paper_id", "chunk_id", "priority", "char_count", F.md5("chunk_text").alias("text_md5"))
 
 
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_SOFT = r"(?i)[,;:]\s+|\s+(?:which|where|while|when|that|and|but|or)\s+"
+_TARGET, _HARD, _LEAST = Config().chunk_target_max_chars, Config().chunk_hard_max_chars, Config().chunk_min_chars
+
+
+def _nearest(places: str) -> str:
+    """The first of the places that are nearest to the target, among those that are allowed."""
+    return f"list_sort(list_transform(list_filter({places}, lambda p: p BETWEEN {max(1, min(_TARGET // 2, _TARGET - 200))} AND high), lambda p: {{'d': abs(p - {_TARGET}), 'p': p}}))[1].p"
+
+
+def _lengths(parts: str, to: str) -> str:
+    return f"coalesce(list_sum(list_transform({parts}[1:{to}], lambda x: length(x))), 0)"
+
+
+# The texts have no headings and no blank lines: each is one paragraph. What is cut, packed and joined in loops is cut, packed and joined by recursion.
+GREEDY_CHUNKS = rf"""
+WITH RECURSIVE {_NOISE_SQL.replace(f"lower({_SECTION})", "''").strip()},
+docs AS (SELECT doc_id, trim(regexp_replace(text, '[ \t\r]+\n', chr(10), 'g'), {_WS}) AS t FROM judged JOIN documents USING (doc_id) WHERE NOT noise),
+split AS (SELECT doc_id, t, list_filter(list_transform(string_split(regexp_replace(t, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, {_WS})), lambda x: x <> '') AS s FROM docs WHERE length(t) > {_TARGET}),
+units AS (SELECT doc_id, i AS sent, s[i] AS rest FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM split WHERE len(s) > 1) UNION ALL SELECT doc_id, 1, t FROM split WHERE len(s) <= 1),
+cut(doc_id, sent, n, head, rest) AS (
+  SELECT doc_id, sent, 0, '', rest FROM units
+  UNION ALL
+  SELECT doc_id, sent, n + 1, h, ltrim(substr(rest, pos + 1), ' ,;:' || chr(9) || chr(10) || chr(13)) FROM (
+    SELECT *, trim(substr(rest, 1, pos), {_WS}) AS h FROM (
+      SELECT *, coalesce({_nearest("soft")}, {_nearest("blank")}, high) AS pos FROM (
+        SELECT *, list_transform(range(1, len(ms) + 1), lambda k: ({_lengths("ps", "k")} + {_lengths("ms", "k")})::BIGINT) AS soft, list_transform(range(1, len(mb) + 1), lambda k: ({_lengths("pb", "k")} + {_lengths("mb", "k - 1")})::BIGINT) AS blank FROM (
+          SELECT *, regexp_split_to_array(sub, '{_SOFT}') AS ps, regexp_extract_all(sub, '{_SOFT}') AS ms, regexp_split_to_array(sub, '\s+') AS pb, regexp_extract_all(sub, '\s+') AS mb FROM (
+            SELECT doc_id, sent, n, rest, least(length(rest), {_HARD}) AS high, substr(rest, 1, {_HARD}) AS sub FROM cut WHERE length(rest) > {_TARGET})))))
+  WHERE h <> '' AND NOT (length(rest) <= {_HARD} AND pos >= length(rest))
+),
+pieces AS (SELECT doc_id, head AS piece, row_number() OVER (PARTITION BY doc_id ORDER BY sent, n) AS i FROM (
+  SELECT doc_id, sent, n, head FROM cut WHERE n > 0 UNION ALL SELECT doc_id, sent, max(n) + 1, arg_max(rest, n) FROM cut GROUP BY doc_id, sent HAVING arg_max(rest, n) <> '')),
+pack(doc_id, i, size, pack) AS (
+  SELECT doc_id, i, length(piece), 1 FROM pieces WHERE i = 1
+  UNION ALL
+  SELECT doc_id, i, CASE WHEN fits THEN size + 1 ELSE 0 END + length(piece), pack + CASE WHEN fits THEN 0 ELSE 1 END
+  FROM (SELECT p.doc_id, p.i, p.piece, k.size, k.pack, len(d.s) > 1 AND k.size + 1 + length(p.piece) <= {_TARGET} AS fits FROM pack k JOIN pieces p ON p.doc_id = k.doc_id AND p.i = k.i + 1 JOIN split d ON d.doc_id = k.doc_id)
+),
+packed AS (SELECT doc_id, pack AS seg, trim(string_agg(piece, ' ' ORDER BY i), {_WS}) AS t FROM pack JOIN pieces USING (doc_id, i) GROUP BY doc_id, pack UNION ALL SELECT doc_id, 1, t FROM docs WHERE length(t) <= {_TARGET} AND t <> ''),
+joined(doc_id, todo, done, moved, over) AS (
+  SELECT doc_id, list(t ORDER BY seg), []::VARCHAR[], false, false FROM packed GROUP BY doc_id
+  UNION ALL
+  SELECT doc_id, CASE WHEN ends THEN done WHEN before THEN todo[2:] WHEN after THEN todo[3:] ELSE todo[2:] END,
+    CASE WHEN ends AND moved THEN [] WHEN ends THEN done WHEN before THEN done[:len(done) - 1] || [rtrim(done[len(done)], {_WS}) || chr(10) || chr(10) || x] WHEN after THEN done || [x || chr(10) || chr(10) || trim(todo[2], {_WS})] ELSE done || [todo[1]] END,
+    CASE WHEN ends THEN false ELSE moved OR before END, ends AND NOT moved
+  FROM (SELECT *, len(todo) = 0 AS ends, coalesce(length(x) < {_LEAST} AND len(done) > 0 AND length(done[len(done)]) + 2 + length(x) <= {_HARD}, false) AS before, coalesce(length(x) < {_LEAST} AND len(todo) > 1 AND length(x) + 2 + length(todo[2]) <= {_HARD}, false) AS after
+    FROM (SELECT *, trim(todo[1], {_WS}) AS x FROM joined WHERE NOT over))
+),
+found AS (SELECT doc_id, i, trim(done[i], {_WS}) AS t FROM (SELECT doc_id, done, unnest(range(1, len(done) + 1)) AS i FROM joined WHERE over))
+SELECT doc_id::VARCHAR AS paper_id, 'chunk_' || lpad(i::VARCHAR, 4, '0') AS chunk_id, 'low' AS priority, length(t) AS char_count, md5(t) AS text_md5 FROM found
+"""
+
+
 def run_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.call_grid(_t(spark, sf_dir, "documents").select("doc_id", "lang"), Config())
 
@@ -803,5 +857,5 @@ _ALL = [
     candidate_parse, candidate_dedupe, empty_parses, known_chunks, merged_topics, topic_items, judge_grid, cluster_rounds, merge_rounds, partial_final, unique_clean_texts, prompt_render, entity_fingerprints, mock_pipeline_e2e,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
-#: Chunking cuts texts in a loop, and the end-to-end run asks a completer; tests hold both against Python.
+#: The end-to-end run asks a completer; tests hold it against Python.
 ORACLE_SQL = {name: globals()[name.upper()] for name in QUERIES if name.upper() in globals()}
