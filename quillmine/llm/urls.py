@@ -16,6 +16,7 @@ from .url_table import held_out, labelled_urls
 
 # Fixed values: (rule, verdict).
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+CAUTION = 2.0  # what all harmless URLs weigh in the fit against all others, as what is blocked is lost
 SIZE = 8191  # a prime: slots of the hashed trigrams
 MOST_LABELLED = 20_000  # rows of a labelled table that the driver may hold
 MOST_IN_PLAN = 500  # rules that are part of the plan; more are joined
@@ -58,7 +59,7 @@ def fit(spark: SparkSession, labelled: list[tuple[str, int]] | None = None, roun
     n = np.array([len(r["s"]) for r in rows])
     at, row = np.concatenate([np.array(r["s"], int) for r in rows]), np.repeat(np.arange(len(rows)), n)
     value, y, w, bias = 1 / np.sqrt(n[row]), np.array([r["y"] for r in rows], float), np.zeros(SIZE), 0.0
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))  # both classes count alike
+    share = np.where(y == 1, 1 / max(y.sum(), 1), CAUTION / max((1 - y).sum(), 1)) / (1 + CAUTION)
     for _ in range(rounds):
         margin = np.bincount(row, weights=value * w[at], minlength=len(rows)) + bias
         off = share * (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - y)
