@@ -21,6 +21,7 @@ from .common import pieces, saved, table, texts
 
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+NODE = 400  # bytes of a node, its bytes object and its table of kids, beside the edge's bytes; measured in tests
 
 
 class Node:
@@ -43,7 +44,7 @@ def shared_prefix(a: bytes, b: bytes, at: int) -> int:
 
 
 class PatriciaTrie:
-    """A compressed radix trie. Terminal nodes (count > 0) hold the smallest or largest identifier inserted."""
+    """A compressed radix trie. Terminal nodes (count > 0) hold the smallest or largest identifier inserted; ``size`` is what it takes in memory."""
 
     def __init__(self, keep: str = "min"):
         self.root, self.pick, self.size = Node(b""), {"min": min, "max": max}[keep], 0
@@ -55,13 +56,14 @@ class PatriciaTrie:
             kid = node.kids.get(key[at])
             if kid is None:
                 node.kids[key[at]] = Node(key[at:], count, owner)
-                self.size += len(key) - at
+                self.size += NODE + len(key) - at
                 return True
             if key.startswith(kid.edge, at):
                 node, at = kid, at + len(kid.edge)
                 continue
             n = shared_prefix(kid.edge, key, at)
             fork = Node(kid.edge[:n])
+            self.size += NODE
             node.kids[key[at]] = fork
             kid.edge = kid.edge[n:]
             fork.kids[kid.edge[0]] = kid
@@ -92,7 +94,7 @@ class PatriciaTrie:
         while len(parent.kids) == 1 and (kid := next(iter(parent.kids.values()))).kids and not kid.count:
             parent = kid
             prefix += parent.edge
-        sizes = {b: sum(len(n.edge) for n in walk(kid)) for b, kid in parent.kids.items()}
+        sizes = {b: sum(NODE + len(n.edge) for n in walk(kid)) for b, kid in parent.kids.items()}
         b = max(sizes, key=sizes.get)
         self.size -= sizes[b]
         yield from self.terminals(parent.kids.pop(b), prefix)
