@@ -16,12 +16,18 @@ from ..operators import similarity as Y
 from ..operators import similarity_join as J
 from ..operators.cluster_rounds import cluster_candidates
 from .config import JUDGE_KEYS, Config
-from .prompts import TEMPLATE, candidate_prompt
+from .prompts import JUDGE_RULES, MERGE_RULES, TEMPLATE, candidate_prompt
+from .prompts import JUDGES as JUDGE_FOCUS
 
 BATCH = 50
 THRESHOLD = 0.82
 
 
+def _said(text: str) -> str:
+    """A text as SQL."""
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -487,13 +493,17 @@ def merge_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = M.merge_groups(M.cluster_items(clusters, candidates, chunks), 1, 3)
     said = lambda c: F.concat_ws(":", c["candidate_id"], c["topic"], c["source_chunk_id"], c["source_chunk_text"])
     items = F.transform("merge_items", lambda x: F.concat_ws("|", x["cluster_id"], x["cluster_size"].cast("string"), F.array_join(F.transform(x["source_chunks"], said), ",")))
-    return groups.select("paper_id", "group_index", "input_group_size", F.array_join(items, ";").alias("items"))
+    return groups.select("paper_id", "group_index", "input_group_size", F.array_join(items, ";").alias("items"), F.md5("prompt").alias("prompt_md5"))
 
 
-MERGE_ITEMS = """
+MERGE_ITEMS = f"""
 WITH o AS (SELECT *, o_custkey::varchar AS paper_id, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4 + 1 AS c FROM orders),
-clusters AS (SELECT paper_id, c, printf('cluster_%04d', c) || '|' || count(*) || '|' || string_agg(o_orderkey || ':' || o_orderpriority || ':' || o_orderstatus || ':status ' || o_orderstatus, ',' ORDER BY o_orderkey) AS item FROM o GROUP BY paper_id, c)
-SELECT paper_id, ((c - 1) // 3 + 1)::int AS group_index, count(*)::int AS input_group_size, string_agg(item, ';' ORDER BY c) AS items FROM clusters GROUP BY paper_id, (c - 1) // 3
+clusters AS (SELECT paper_id, c, printf('cluster_%04d', c) || '|' || count(*) || '|' || string_agg(o_orderkey || ':' || o_orderpriority || ':' || o_orderstatus || ':status ' || o_orderstatus, ',' ORDER BY o_orderkey) AS item,
+  '{{"cluster_id":"' || printf('cluster_%04d', c) || '","representative_topic":"' || min(o_orderkey) || '","representative_logic":"","candidate_ids":[' || string_agg('"' || o_orderkey || '"', ',' ORDER BY o_orderkey) || '],"cluster_size":' || count(*) || ',"source_chunks":['
+  || string_agg('{{"candidate_id":"' || o_orderkey || '","topic":"' || o_orderpriority || '","derivation_logic":"because","implementation_steps":["a step"],"source_chunk_id":"' || o_orderstatus || '","section_path":["' || o_orderstatus || '"],"source_chunk_text":"status ' || o_orderstatus || '"}}', ',' ORDER BY o_orderkey) || ']}}' AS j
+  FROM o GROUP BY paper_id, c)
+SELECT paper_id, ((c - 1) // 3 + 1)::int AS group_index, count(*)::int AS input_group_size, string_agg(item, ';' ORDER BY c) AS items,
+  md5({_said(MERGE_RULES)} || '{{"paper_id":"' || paper_id || '","round_index":1,"merge_items":[' || string_agg(j, ',' ORDER BY c) || ']}}') AS prompt_md5 FROM clusters GROUP BY paper_id, (c - 1) // 3
 """
 
 
@@ -634,11 +644,13 @@ FROM part
 
 def judge_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = S.judge_grid(_part_topics(spark, sf_dir))
-    return rows.select("paper_id", "topic_id", "judge_ordinal", "judge_model", F.contains("prompt", F.concat(F.lit('"title":"'), "title", F.lit('"'))).alias("asks_for_title"))
+    return rows.select("paper_id", "topic_id", "judge_ordinal", "judge_model", F.md5("prompt").alias("prompt_md5"))
 
 
 JUDGE_GRID = f"""
-SELECT p_brand AS paper_id, p_partkey::varchar AS topic_id, judge_ordinal, judge_model, true AS asks_for_title
+SELECT p_brand AS paper_id, p_partkey::varchar AS topic_id, judge_ordinal, judge_model, md5(CASE judge_model {" ".join(f"WHEN '{k}' THEN {_said(v)}" for k, v in JUDGE_FOCUS.items())} END || {_said(JUDGE_RULES)} ||
+  '{{"topic_id":"' || p_partkey || '","title":"' || p_name || '","merged_derivation_logic":"' || p_type || '","implementation_steps":' || CASE WHEN p_size % 11 = 0 THEN '["1","2"]' ELSE '["0","1","2"]' END ||
+  ',"evidence_quotes":[' || CASE WHEN p_size % 10 = 0 THEN '' ELSE '"' || p_type || '"' END || '],"source_candidate_ids":["' || p_size || '"],"source_chunk_ids":["' || p_size || '","c"]}}') AS prompt_md5
 FROM part, (VALUES {", ".join(f"({i}, '{k}')" for i, k in enumerate(JUDGE_KEYS))}) j(judge_ordinal, judge_model)
 """
 
