@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -108,8 +109,10 @@ def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
 
 def freed(spark: SparkSession) -> None:
     """Has Spark delete the shuffle files of steps that nothing refers to any more; by itself it does so when the driver happens to run short of memory."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(3):  # what Python lets go of reaches the JVM a moment later
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
