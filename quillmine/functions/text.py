@@ -5,10 +5,12 @@
 
 from __future__ import annotations
 
+import functools
+import sys
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +49,43 @@ def _nfkc(c: pd.Series) -> pd.Series:
 
 
 def nfkc(c: Column) -> Column:
-    """Compatibility composition, the one text rule without a built-in function; identity on ASCII."""
+    """Compatibility composition by a function over all rows; ``with_nfkc`` does without it where it can."""
     return _nfkc(c)
 
 
+@functools.cache
+def composition() -> tuple[str, str, str]:
+    """(hard, single, forms), made from the interpreter's own tables.
+
+    Hard are characters that join with what stands before them, or whose form has several characters; a text without them is composed
+    character by character, and each of ``single`` has one of ``forms``.
+    """
+    joins = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}  # vowels and finals of Hangul
+    every = [chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    for c in every:
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            joins.add(chr(int(parts[1], 16)))
+    hard, single, forms = [], [], []
+    for c in every:
+        form = unicodedata.normalize("NFKC", c)
+        if c in joins or unicodedata.combining(c) or len(form) > 1 or form in joins or unicodedata.combining(form):
+            hard.append(c)
+        elif form != c:
+            single.append(c)
+            forms.append(form)
+    return "".join(hard), "".join(single), "".join(forms)
+
+
+def with_nfkc(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """``rows`` with ``name``, the text in NFKC: translated where each character has a form of its own, by a function only in rows where some join."""
+    hard, single, forms = composition()
+    ascii_ = ~F.col(text).rlike(r"[^\x00-\x7F]")
+    joins = ~F.coalesce(ascii_, F.lit(True)) & (F.length(F.translate(text, hard, "")) != F.length(text))
+    easy = rows.where(~joins).withColumn(name, F.when(ascii_, F.col(text)).otherwise(F.translate(text, single, forms)))
+    return easy.unionByName(rows.where(joins).withColumn(name, nfkc(F.col(text))))
+
+
 def match_form(c: Column, composed: bool = True) -> Column:
     """The form for comparisons: odd marks plain, white space collapsed, lower case. ``composed``: ``c`` is in NFKC already."""
     return F.lower(collapse(F.translate(c if composed else nfkc(c), ODD_MARKS, PLAIN_MARKS)))
