@@ -4,7 +4,8 @@ Plan. Word counts are computed once and stored without texts. Per-source totals,
 the water level is found by a few aggregates over the sources. A fraction of a repetition goes to the documents that
 come first in a seeded order: a histogram of words over ranges of the seeded hash finds the range in which
 the fraction is reached, and only that range's documents are sorted. There are as many ranges as a range has documents, about (the square root
-of a source's), so no source, however large, meets in one task.
+of a source's), so no source, however large, meets in one task. What a round takes is all that fits the gap up to a place in the order: a source
+keeps its rounds' (gap, place), the documents are never written again.
 """
 
 from __future__ import annotations
@@ -79,34 +80,36 @@ def placed_mix(docs: DataFrame, row: Column, weights: list[float] = WEIGHTS, mos
     sources = water_fill(sources.withColumn("weight", weight), most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     sources = sources.withColumn("_whole", F.floor(rate)).withColumn("_need", F.col("target") - F.col("_whole") * F.col("source_size"))
-    sources = saved(sources.select(F.col("source").alias("_source"), "source_size", "target", "_whole", "_need"))
-
     of_source = F.col("source").eqNullSafe(F.col("_source"))
-    rows = sizes.withColumns({"_bucket": F.shiftrightunsigned("_hash", 64 - (n.bit_length() - 1)).cast("int"), "_extra": F.lit(False)})
-    fits = ~F.col("_extra") & (F.col("size") > 0) & (F.col("size") <= F.col("_gap"))
+    key = F.struct("_bucket", "_hash", "doc_id", "size", "row")  # the seeded order
+    rows = sizes.withColumn("_bucket", F.shiftrightunsigned("_hash", 64 - (n.bit_length() - 1)).cast("int"))
+    extra = F.exists("_taken", lambda x: (F.col("size") <= x["gap"]) & (key <= x["to"]))
+    fits = ~extra & (F.col("size") > 0) & (F.col("size") <= F.col("_gap"))
+    taken = "array<struct<gap:double,to:struct<_bucket:int,_hash:bigint,doc_id:bigint,size:bigint,row:bigint>>>"
+    sources = saved(sources.select(F.col("source").alias("_source"), "source_size", "target", "_whole", F.col("_need").alias("_gap"), F.array().cast(taken).alias("_taken"), F.lit(True).alias("_open")))
     while True:
-        got = rows.where("_extra").groupBy("source").agg(F.sum("size").alias("_got"))
-        gaps = sources.join(small(got), of_source, "left").select("_source", (F.col("_need") - F.coalesce("_got", F.lit(0))).alias("_gap"))
-        open_ = rows.join(small(gaps), of_source)
-        levels = open_.where(fits).groupBy("_source", "_gap", "_bucket").agg(F.sum("size").alias("_words"))
+        levels = rows.join(small(sources.where("_open")), of_source).where(fits).groupBy("_source", "_gap", "_taken", "_bucket").agg(F.sum("size").alias("_words"))
         levels = levels.withColumn("_to", F.sum("_words").over(W.partitionBy("_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)))
         # The range in which the gap is reached; without one, all that fits is taken.
         over = F.when(F.col("_to") > F.col("_gap"), F.struct(F.col("_bucket"), (F.col("_to") - F.col("_words")).alias("_before")))
-        cuts = saved(levels.groupBy("_source", "_gap").agg(F.min(over).alias("_at")).select("_source", "_gap", F.coalesce("_at._bucket", F.lit(n)).alias("_cut"), F.coalesce(F.col("_gap") - F.col("_at._before"), F.lit(0.0)).alias("_rest")))
+        cuts = levels.groupBy("_source", "_gap", "_taken").agg(F.min(over).alias("_at"), F.sum("_words").alias("_all"))
+        cuts = saved(cuts.select("_source", "_gap", "_taken", F.coalesce("_at._bucket", F.lit(n)).alias("_cut"), F.coalesce("_at._before", "_all").alias("_before")))
         if cuts.isEmpty():
             break
-        rows = rows.join(small(cuts), of_source, "left")
-        at_cut = F.coalesce(fits & (F.col("_bucket") == F.col("_cut")), F.lit(False))
-        up_to = F.sum("size").over(W.partitionBy("source").orderBy("_hash", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, W.currentRow))
-        cut = rows.where(at_cut).withColumn("_extra", up_to <= F.col("_rest"))
-        rest = rows.where(~at_cut).withColumn("_extra", F.col("_extra") | F.coalesce(fits & (F.col("_bucket") < F.col("_cut")), F.lit(False)))
-        rows = saved(rest.unionByName(cut).select(*sizes.columns, "_bucket", "_extra"))
-    gaps = saved(gaps)
+        up_to = F.sum("size").over(W.partitionBy("_source").orderBy("_hash", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, W.currentRow))
+        cut = rows.join(small(cuts), of_source).where(fits & (F.col("_bucket") == F.col("_cut"))).withColumn("_up_to", up_to)
+        cut = cut.where(F.col("_up_to") <= F.col("_gap") - F.col("_before")).groupBy("_source").agg(F.max(key).alias("_last"), F.max("_up_to").alias("_in"))
+        below = F.struct(F.col("_cut").alias("_bucket"), F.lit(-1 << 63).alias("_hash"), *(F.lit(None).cast("long").alias(c) for c in ("doc_id", "size", "row")))
+        step = F.struct(F.col("_gap").alias("gap"), F.coalesce("_last", below).alias("to"))
+        found = cuts.join(small(cut.withColumnRenamed("_source", "_of")), F.col("_source").eqNullSafe(F.col("_of")), "left")
+        found = found.select(F.col("_source").alias("_of"), (F.col("_gap") - F.col("_before") - F.coalesce("_in", F.lit(0))).alias("_less"), F.concat("_taken", F.array(step).cast(taken)).alias("_more"))
+        now = sources.join(small(found), F.col("_source").eqNullSafe(F.col("_of")), "left")
+        sources = saved(now.select("_source", "source_size", "target", "_whole", F.coalesce("_less", "_gap").alias("_gap"), F.coalesce("_more", "_taken").alias("_taken"), F.col("_more").isNotNull().alias("_open")))
     off = F.abs(F.col("size") - F.col("_gap"))
-    last = rows.where(~F.col("_extra")).join(small(gaps), of_source).where(off < F.col("_gap")).groupBy("_source").agg(F.min_by("row", F.struct(off.alias("off"), "_hash", "doc_id", "row")).alias("_last"))
+    last = rows.join(small(sources), of_source).where(~extra & (off < F.col("_gap"))).groupBy("_source").agg(F.min_by("row", F.struct(off.alias("off"), "_hash", "doc_id", "row")).alias("_last"))
     last = saved(sources.join(small(last.withColumnRenamed("_source", "_of")), F.col("_source").eqNullSafe(F.col("_of")), "left"))
     out = rows.join(small(last), of_source)
-    repeats = F.col("_whole") + (F.col("_extra") | F.coalesce(F.col("row") == F.col("_last"), F.lit(False))).cast("long")
+    repeats = F.col("_whole") + ((F.col("size") > 0) & (extra | F.coalesce(F.col("row") == F.col("_last"), F.lit(False)))).cast("long")
     return out.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (F.col("size") * repeats).alias("taken"), "row")
 
 
