@@ -7,6 +7,10 @@ with its own counts. (3) The task that has a range adds up the counts of all pie
 meet the piece's texts again, and each token gets its loss in both models. A word that stands in every text is one entry of each piece, so
 no key is hot; what is shuffled is proportional to the texts.
 
+A piece sends ``MOST_RANGES`` rows at most, so rows that are shuffled grow with the number of pieces, not with its square. Ranges of a
+larger corpus are cut into parts by the task that has them: rows become a row per part that they touch (never more than entries), which a sort
+within the task, able to spill, brings together; answers of the parts are packed into rows again before they leave.
+
 A document is scored by models that have not seen it: its own counts are taken off the background's, and off the target's where it
 belongs to that. Both models interpolate pair, word and uniform probabilities with the same weights, so that a difference in loss is a
 difference in counts.
@@ -31,7 +35,10 @@ from .quality import held_out
 WEIGHTS = (0.6, 0.35, 0.05)  # of pairs, words, and the uniform distribution
 TYPES = 1 << 24  # word types of the uniform distribution
 PIECE_BYTES = 8 << 20  # text of a piece, about; twice as much at most, or one text
-RANGE_BYTES = 8 << 20  # text for each range of codes
+RANGE_BYTES = 8 << 20  # text for each part of a range of codes
+MOST_RANGES = 1024  # rows that a piece sends: about a thousand codes in each, or more
+TASK_BYTES = 1 << 30  # text for each task, which goes through it piece by piece, or range by range
+ROW_BYTES = 64  # what a row counts beside its text
 TOTAL = 0  # the code under which all words are counted; no word or pair has it
 
 
@@ -65,7 +72,7 @@ def unpacked(body: bytes, k: int) -> list[np.ndarray]:
 def whole_pieces(batches: Iterator[pa.RecordBatch], pieces: int, most: int) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
     """Rows (piece, is_doc, id, text, ...) sorted by the first three -> (number, rows from text on, which are of the target).
 
-    A piece of more than ``most`` bytes is cut, row by row, so that cuts don't depend on how rows are batched.
+    A piece of more than ``most`` bytes, ``ROW_BYTES`` for each row among them, is cut, row by row, so that cuts don't depend on how rows are batched.
     """
     key, cut, size, ids, held = None, 0, 0, set(), []
 
@@ -77,7 +84,7 @@ def whole_pieces(batches: Iterator[pa.RecordBatch], pieces: int, most: int) -> I
         start, flags = 0, []
         lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0).to_pylist()
         for i, (piece, is_doc, id_, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), lengths, strict=True)):
-            if piece != key or not is_doc or (size and size + n > most):
+            if piece != key or not is_doc or (size and size + n + ROW_BYTES > most):
                 if i > start:
                     held.append((batch.slice(start, i - start), np.array(flags, bool)))
                 if piece != key:
@@ -92,7 +99,7 @@ def whole_pieces(batches: Iterator[pa.RecordBatch], pieces: int, most: int) -> I
                 ids.add(id_)
                 start = i + 1
                 continue
-            size += n
+            size += n + ROW_BYTES
             flags.append(id_ in ids)
         if batch.num_rows > start:
             held.append((batch.slice(start), np.array(flags, bool)))
@@ -119,6 +126,47 @@ def _asked(pieces: int, most: int, ranges: int):
     return run
 
 
+def _parted(ranges: int, parts: int):
+    """Rows of ``_asked`` -> a row per part of a range that they touch; ``at`` is then the part's number among all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                codes, *counts = unpacked(body, 3)
+                codes = np.cumsum(codes, dtype=np.uint64)
+                # Where a code stands in its range, of 2^32 places; ranges are cut by the high half of codes, see ``_asked``.
+                within = (codes >> np.uint64(32)) * np.uint64(ranges) & np.uint64(0xFFFFFFFF)
+                bounds = np.searchsorted(within * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
+                some = np.flatnonzero(np.diff(bounds))
+                bodies = [packed(np.diff(codes[a:b], prepend=np.uint64(0)), *(c[a:b] for c in counts)) for a, b in zip(bounds[some].tolist(), bounds[some + 1].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([piece] * len(some), pa.int64()), pa.array(at * parts + some, pa.int64()), pa.array(bodies, pa.binary())], names=["piece", "at", "body"])
+
+    return run
+
+
+def _joined(parts: int):
+    """Answers of parts, sorted by piece and part -> a row per piece and range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def done():
+            body = packed(*map(np.concatenate, zip(*held, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int64()), pa.array([body], pa.binary())], names=["piece", "at", "body"])
+
+        for batch in batches:
+            for piece, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (piece, at // parts) != key:
+                    if held:
+                        yield done()
+                    key, held = (piece, at // parts), []
+                held.append(unpacked(body, 2))
+        if held:
+            yield done()
+
+    return run
+
+
 def _kept(pieces: int, most: int):
     """The texts of each piece, and the columns that go with them, as one row with ``at`` -1."""
 
@@ -225,6 +273,7 @@ def score_documents(
     weights: tuple[float, float, float] = WEIGHTS,
     piece_bytes: int = PIECE_BYTES,
     range_bytes: int = RANGE_BYTES,
+    most_ranges: int = MOST_RANGES,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, target_loss, background_loss, score, and ``carry`` as the struct carried.
 
@@ -236,26 +285,32 @@ def score_documents(
     """
     doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces, ranges = (max(least, -(-total // n)) for n in (piece_bytes, range_bytes))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    pieces, parts = (max(tasks, -(-total // n)) for n in (piece_bytes, range_bytes))
+    ranges = min(parts, max(tasks, most_ranges))
+    parts = -(-parts // ranges)  # of each range
 
     def piece_of(key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(pieces)).cast("long").alias("piece")
 
     keep = carried(id_col, carry)
     rows = docs.select(
-        piece_of(F.coalesce(doc_id, F.xxhash64(text))), F.lit(True).alias("is_doc"), doc_id.alias("id"), text.alias("text"), F.xxhash64(text).alias("_version"), *(c.alias(f"_c{i}") for i, c in enumerate(keep.values()))
+        piece_of(F.coalesce(doc_id, F.when(text != "", F.xxhash64(text)), F.monotonically_increasing_id())), F.lit(True).alias("is_doc"), doc_id.alias("id"), text.alias("text"), F.xxhash64(text).alias("_version"), *(c.alias(f"_c{i}") for i, c in enumerate(keep.values()))
     )
     kept = [f for f in rows.schema.fields if f.name.startswith("_c")]
     ids = targets.select(F.col(targets.columns[0]).cast("long").alias("id")).where("id is not null").distinct()
     rows = rows.unionByName(ids.select(piece_of(F.col("id")), F.lit(False).alias("is_doc"), "id"), allowMissingColumns=True)
-    # Numbers of pieces and ranges deal them out evenly, where hashes of them would put several into one task and none into another.
-    rows = rows.repartitionById(least, F.col("piece").cast("int")).sortWithinPartitions("piece", "is_doc", "id", "_version").drop("_version")
+    # Rows without id and text ask for nothing, so it does not matter which piece they go to. Numbers of pieces and ranges deal them out evenly, where hashes of them would put several into one task and none into another.
+    rows = rows.repartitionById(tasks, F.pmod("piece", F.lit(tasks)).cast("int")).sortWithinPartitions("piece", "is_doc", "id", "_version").drop("_version")
 
     form, most = "piece long, at long, body binary", 2 * piece_bytes
-    asked = rows.mapInArrow(_asked(pieces, most, ranges), form)
-    answered = asked.repartitionById(least, F.col("at").cast("int")).sortWithinPartitions("at", "piece").mapInArrow(_answered, form)
-    both = answered.unionByName(rows.mapInArrow(_kept(pieces, most), form)).repartitionById(least, F.col("piece").cast("int")).sortWithinPartitions("piece", "at")
+    asked = rows.mapInArrow(_asked(pieces, most, ranges), form).repartitionById(tasks, F.pmod("at", F.lit(tasks)).cast("int"))
+    if parts > 1:
+        asked = asked.mapInArrow(_parted(ranges, parts), form)
+    answered = asked.sortWithinPartitions("at", "piece").mapInArrow(_answered, form)
+    if parts > 1:
+        answered = answered.sortWithinPartitions("piece", "at").mapInArrow(_joined(parts), form)
+    both = answered.unionByName(rows.mapInArrow(_kept(pieces, most), form)).repartitionById(tasks, F.pmod("piece", F.lit(tasks)).cast("int")).sortWithinPartitions("piece", "at")
     made = T.StructType.fromDDL("_n long, _t double, _b double, _s double").fields
     schema = T.StructType(kept + made)
     out = both.mapInArrow(_scored(pa.schema([(f.name, pa.null()) for f in schema.fields]), weights), schema)

@@ -461,6 +461,20 @@ def test_language_model(spark, docs, empty, labels):
     assert sorted(map(key, ((r["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in got))) == sorted(key((rows[i][0], *x)) for i, x in want.items())
 
 
+def test_rows_without_id_and_text_are_spread(spark):
+    from quillmine.llm import language_model as lm
+
+    rows = [(None, None)] * 300 + [(None, "")] * 300 + [(4, "")] * 300 + [(4, "a b c"), (None, "a b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = lm.score_documents(docs, spark.createDataFrame([(4,)], "id long"), piece_bytes=10, range_bytes=2, most_ranges=1)
+    assert got.count() == len(rows) and {(r["doc_id"], r["n_tokens"]) for r in got.collect()} == {(None, 0), (4, 0), (4, 3), (None, 3)}
+    # Pieces are cut by rows, too: texts of one id that are all empty do not add up to one piece.
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"piece": [0] * 100, "is_doc": [True] * 100, "id": [4] * 100, "text": [""] * 100})
+    assert [b.num_rows for _, b, _ in lm.whole_pieces(iter([batch]), 1, 10 * lm.ROW_BYTES)] == [10] * 10
+
+
 def test_language_model_sets_apart_what_occurs_twice(spark):
     """Each document is scored by what the others say, so one with a copy stands out from one without, however rare its words."""
     from quillmine.llm import language_model as lm

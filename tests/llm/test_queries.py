@@ -192,9 +192,9 @@ def agree(got, want):
         assert r["n_tokens"] == n and abs(r["target_loss"] - t) < 1e-9 and abs(r["background_loss"] - b) < 1e-9 and abs(r["score"] - (t - b)) < 1e-9
 
 
-@pytest.mark.parametrize("sizes", [None, (1, 1), (20_000, 3000), (1 << 20, 100)])
+@pytest.mark.parametrize("sizes", [None, (1, 1), (20_000, 3000), (1 << 20, 100), (20_000, 150, 9)])
 def test_lm_score(spark, docs, sizes):
-    """All words and pairs are counted; pieces and ranges of any size give the same scores."""
+    """All words and pairs are counted; pieces, ranges and parts of ranges of any size give the same scores."""
     from quillmine.llm import language_model as lm
 
     target = lm.target_ids(spark.read.parquet(f"{SF}/labels.parquet"))
@@ -203,4 +203,4 @@ def test_lm_score(spark, docs, sizes):
         agree(rows(spark, "op9_lm_score"), want)
     else:
         some = spark.read.parquet(f"{SF}/documents.parquet").repartition(3)
-        agree({r["doc_id"]: r for r in lm.score_documents(some, target, piece_bytes=sizes[0], range_bytes=sizes[1]).collect()}, want)
+        agree({r["doc_id"]: r for r in lm.score_documents(some, target, piece_bytes=sizes[0], range_bytes=sizes[1], most_ranges=(*sizes, lm.MOST_RANGES)[2]).collect()}, want)
