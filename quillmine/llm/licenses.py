@@ -4,18 +4,20 @@ Plan. One pass without a shuffle. A template's text is words and markup: ``<<beg
 ``<<var;max=N>>`` stands for up to N words of any kind. It becomes a nondeterministic automaton over words whose subsets are
 turned into deterministic states as texts need them. A text is tried only against templates whose longest mandatory word it
 has, and only from places where a first word of the template stands; a match has all mandatory wording, in order, exactly.
+Whole licences are templates in ``licence_texts``, one a file, whose list markers are optional.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from importlib.resources import files
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM_TABLE, appended, carried, table
+from .common import ALNUM_TABLE, alnum_words, appended, carried, table
 
 # Fixed values: (words, label) of the base.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
@@ -95,6 +97,20 @@ TEMPLATES = TEXTS + [
 ]
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """(template, label ``<licence>-text``) of whole licences, by name; read where they are compiled first, and sent to tasks as text."""
+    out = []
+    for path in sorted((p for p in files(__package__).joinpath("licence_texts").iterdir() if p.name.endswith(".txt")), key=lambda p: p.name):
+        parts = re.split(r"(<<[^>]*>>)", path.read_text("utf-8"))
+        words = (x if x.startswith("<<") else b" ".join(alnum_words(x.encode())).decode() for x in parts)
+        out.append((" ".join(w for w in words if w), path.name.removesuffix(".txt") + "-text"))
+    return out
+
+
+def all_templates() -> list[tuple[str, str]]:
+    return TEMPLATES + whole_texts()
+
+
 @dataclass
 class Template:
     """A compiled template. States are numbers; ``step`` has word moves, ``any_`` moves by any word, ``empty`` moves without one."""
@@ -177,8 +193,8 @@ class Template:
         return end
 
 
-def compiled(base: list[tuple[str, str]] = BASE, templates: list[tuple[str, str]] = TEMPLATES) -> list[Template]:
-    return [Template(t, label, True) for t, label in base] + [Template(t, label) for t, label in templates]
+def compiled(base: list[tuple[str, str]] = BASE, templates: list[tuple[str, str]] | None = None) -> list[Template]:
+    return [Template(t, label, True) for t, label in base] + [Template(t, label) for t, label in (all_templates() if templates is None else templates)]
 
 
 def scan(text: bytes, templates: list[Template]) -> tuple[int, list[tuple[int, int, Template]]]:
@@ -201,16 +217,17 @@ def scan(text: bytes, templates: list[Template]) -> tuple[int, list[tuple[int, i
 
 
 def scan_licenses(
-    docs: DataFrame, base: list[tuple[str, str]] = BASE, templates: list[tuple[str, str]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
+    docs: DataFrame, base: list[tuple[str, str]] = BASE, templates: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
     """One row per document: doc_id, n_words, matches (array of (first_word, end_word, label, base) by place), score, and ``carry`` as
     the struct carried.
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Every place of a base phrase is a match, overlapping ones
-    too, and so is the longest match of a template at each place. score is 0 without matches and grows with the words of the longest
+    too, and so is the longest match of a template at each place (``all_templates`` where none are given). score is 0 without matches and grows with the words of the longest
     one: 1 - 0.5 ** (words / 4). Null and empty texts have no words and no matches. Rows are judged one by one, repeated ones alike, and whole,
     however long. An empty table gives no rows; other columns are not read but for ``carry``.
     """
+    templates = all_templates() if templates is None else templates
     compiled(base, templates)  # errors in templates show here
 
     def make():

@@ -1,5 +1,6 @@
 """Plain versions of the contracts, for small inputs."""
 
+import functools
 import re
 from itertools import combinations
 
@@ -121,29 +122,33 @@ def lm_scores(texts, target, weights, types):
     return out
 
 
+@functools.cache
+def parsed(t):
+    out, stack = [], []
+    for mark in re.findall(r"<<[^>]*>>|[^\s<>]+", t):
+        if mark == "<<beginOptional>>":
+            stack.append(out)
+            out = []
+        elif mark == "<<endOptional>>":
+            inner, out = out, stack.pop()
+            out.append(("opt", inner))
+        elif mark.startswith("<<var"):
+            out.append(("var", int(mark[10:-2])))
+        else:
+            out.append(("word", mark))
+    return out
+
+
 def templates(text, listed):
     """Labels of the templates that match somewhere: a backtracking matcher over the parsed markup."""
     w, found = words(text), set()
 
-    def parsed(t):
-        out, stack = [], []
-        for mark in re.findall(r"<<[^>]*>>|[^\s<>]+", t):
-            if mark == "<<beginOptional>>":
-                stack.append(out)
-                out = []
-            elif mark == "<<endOptional>>":
-                inner, out = out, stack.pop()
-                out.append(("opt", inner))
-            elif mark.startswith("<<var"):
-                out.append(("var", int(mark[10:-2])))
-            else:
-                out.append(("word", mark))
-        return out
-
     def ends(items, at):
         """All places at which the items can end."""
         places = {at}
         for kind, x in items:
+            if not places:
+                break
             if kind == "word":
                 places = {p + 1 for p in places if p < len(w) and w[p] == x}
             elif kind == "var":

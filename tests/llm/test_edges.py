@@ -360,6 +360,30 @@ def test_licence_texts():
     assert "bsd-3-clause-text" in labels(BSD % THIRD) and "bsd-2-clause-text" not in labels(BSD % THIRD)
 
 
+def test_whole_licences():
+    """A licence is found in any line breaks, case and punctuation, with other list markers or none; not with a word changed, left out or added."""
+    import re
+    from importlib.resources import files
+
+    automata = [licenses.Template(*t) for t in licenses.whole_texts()]
+    names = {t.label for t in automata}
+    assert {"apache-2.0-text", "gpl-2.0-text", "gpl-3.0-text", "lgpl-2.1-text", "lgpl-3.0-text", "mpl-2.0-text", "zlib-text"} <= names
+
+    def labels(text):
+        return {t.label for _, _, t in licenses.scan(text.encode(), automata)[1]}
+
+    for label in names:
+        marked = files("quillmine.llm").joinpath("licence_texts", label.removesuffix("-text") + ".txt").read_text("utf-8")
+        whole = re.sub("<<beginOptional>>|<<endOptional>>", "", marked)
+        assert labels(f"Copyright 2024 Someone\n\n{whole}\nEND") == {label}
+        assert labels(" ".join(re.sub("<<beginOptional>>[^<]*<<endOptional>>", "* ", marked).upper().split())) == {label}
+        words = re.sub("<<beginOptional>>[^<]*<<endOptional>>", "", marked).split()
+        middle = next(i for i in range(len(words) // 2, len(words)) if words[i].isalpha())
+        for changed in (["other"], [], [words[middle], "not"]):
+            assert not labels(" ".join(words[:middle] + changed + words[middle + 1 :]))
+        assert not labels(" ".join(words[:-1]))
+
+
 def test_mixture(docs, empty):
     rows = mixture.mix(docs).collect()
     assert len(rows) == len(ROWS) and mixture.mix(empty).count() == 0
