@@ -23,6 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt over all tasks by these columns: for narrow rows from few files that much is made of, as a small file is read by one task."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *columns)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``checkpoint()``: lineage is cut by a copy in the shared folder, which survives executors."""
     shared_dir(df.sparkSession)
