@@ -189,3 +189,15 @@ def test_fingerprint_is_of_order_not_partitions(spark, papers):
     found = chunks(papers)
     a, b = chunk_fingerprints(found).collect(), chunk_fingerprints(found.repartition(7)).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_scores_are_parsed_once_each(spark, monkeypatch):
+    """Scores are stored before they are filtered: a filter by what was parsed would parse each answer again for each number."""
+    from quillmine.plans import pipeline
+
+    plans, stored = {}, pipeline.stored
+    monkeypatch.setattr(pipeline, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and stored(df, name))
+    papers = spark.createDataFrame([("p", "One sentence about a model of heat and of its limits. " * 8)], "paper_id string, markdown string")
+    found = pipeline.mine(spark, papers)
+    assert plans["scores"].count("parseJson") == 1, plans["scores"]
+    assert found["scores"].where("parse_error is not null").count() == 0 < found["scores"].count()
